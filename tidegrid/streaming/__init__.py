@@ -1,0 +1 @@
+"""The workload this package covers is batch only; there are no streaming operators to offer."""
