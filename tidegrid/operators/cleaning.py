@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import duration_minutes, outlier_multiplier, percent, unknown_is_false
-from ..session import BROADCAST_ROW_LIMIT, small_side, stage
+from ..session import stage
 from ..sources import schemas as S
 from .percentiles import exact_percentiles
 from .rules import Rule
@@ -70,7 +70,6 @@ def keep_first(
     order_by: list[str] | None = None,
     by: list[str] | None = None,
     prefilter: bool = False,
-    hash_limit: int = BROADCAST_ROW_LIMIT,
 ) -> DataFrame:
     """``df`` without duplicates of ``keys`` (NULLs equal), plus ``_copies`` per kept row.
 
@@ -85,7 +84,7 @@ def keep_first(
         return _keep_one(df, group, rest).select(*columns)
     repeated = stage(duplicate_hashes(df, group), "duplicate-hashes")
     marked = df.withColumn("_h", F.xxhash64(*group)).join(
-        small_side(repeated.withColumn("_twice", F.lit(True)), hash_limit), "_h", "left"
+        repeated.withColumn("_twice", F.lit(True)), "_h", "left"
     )
     single = marked.where(F.col("_twice").isNull()).withColumn("_copies", F.lit(1).cast("long"))
     suspects = marked.where(F.col("_twice").isNotNull()).select(*df.columns)
@@ -283,7 +282,7 @@ def extreme_thresholds(
 
 def flag_extremes(df: DataFrame, thresholds: DataFrame, columns: list[str], by: str = "taxi_type") -> DataFrame:
     """Flag, never drop: true above the threshold of the row's group, false when unknown."""
-    joined = df.join(small_side(thresholds.drop("n_rows")), by, "left")
+    joined = df.join(stage(thresholds.drop("n_rows"), "extreme-thresholds"), by, "left")
     return joined.select(
         *df.columns,
         *[

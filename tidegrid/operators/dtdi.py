@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import demand_ratio
-from ..session import fits_broadcast, stage
+from ..session import stage
 from .percentiles import bounded_percentiles, exact_percentiles
 
 # --- fixed values: labels and thresholds ---------------------------------------------------------
@@ -101,16 +101,14 @@ def resolve_thresholds(
 ) -> DataFrame:
     """``df`` plus the ``p_low`` / ``p_high`` its rows are judged by, and their level.
 
-    The finest level with enough training observations wins. The level tables are staged so that
-    their size is known before a join is chosen.
+    The finest level with enough training observations wins. The level tables are written first, so
+    the planner knows their size when it picks a join.
     """
     fine = stage(levels["zone_hour"], "zone-hour-thresholds")
-    fine_side = F.broadcast(fine) if fits_broadcast(fine) else fine
     place = stage(levels["zone"], "zone-thresholds")
-    place_side = F.broadcast(place) if fits_broadcast(place) else place
     joined = (
-        df.join(fine_side.withColumnsRenamed({"p_low": "_lo1", "p_high": "_hi1", "n_obs": "_n1"}), group, "left")
-        .join(place_side.withColumnsRenamed({"p_low": "_lo2", "p_high": "_hi2", "n_obs": "_n2"}), group[:1], "left")
+        df.join(fine.withColumnsRenamed({"p_low": "_lo1", "p_high": "_hi1", "n_obs": "_n1"}), group, "left")
+        .join(place.withColumnsRenamed({"p_low": "_lo2", "p_high": "_hi2", "n_obs": "_n2"}), group[:1], "left")
         # One row.
         .join(
             F.broadcast(levels["global"].select(F.col("p_low").alias("_lo3"), F.col("p_high").alias("_hi3"))),

@@ -6,7 +6,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import celsius, event_count_bin, range_bins
-from ..session import small_side
 from .percentiles import exact_percentiles
 
 # --- fixed values: bins and day classes ------------------------------------------------------------
@@ -45,7 +44,7 @@ def spatial_concentration(
     core = (F.coalesce(F.col("borough") == core_group, F.lit(False))) | F.col("pu_location_id").isin(
         *core_places
     )
-    places = means.join(small_side(zones.select("pu_location_id", "borough")), "pu_location_id", "left")
+    places = means.join(zones.select("pu_location_id", "borough"), "pu_location_id", "left")
     inner = F.avg(F.when(core, F.col("_mean")))
     outer = F.avg(F.when(~core, F.col("_mean")))
     return places.agg(

@@ -9,7 +9,6 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import small_side
 from ..sources import schemas as S
 
 # --- fixed values: column roles and category domains --------------------------------------------
@@ -129,7 +128,7 @@ def feature_table(
     if "linear" in sets:
         if groups is None:
             raise ValueError("the linear feature set needs the place groups")
-        df = df.join(small_side(groups), "pu_location_id", "left")
+        df = df.join(groups, "pu_location_id", "left")
         inputs |= one_hot(df, {**domains.shared(), "borough": domains.borough})
     if "gradient_boosting" in sets:
         inputs |= category_codes(domains.shared())

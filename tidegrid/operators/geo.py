@@ -11,7 +11,7 @@ from ..session import small_side
 
 def zones_from_shapes(shapes: DataFrame, lookup: DataFrame) -> DataFrame:
     """Outlines with the names and groups of the place table."""
-    return shapes.join(small_side(lookup), "pu_location_id", "left")
+    return shapes.join(lookup, "pu_location_id", "left")
 
 
 def outline_index(zones: DataFrame, cell_degrees: float = 0.02) -> DataFrame:
@@ -90,7 +90,7 @@ def assign_places(events: DataFrame, located: DataFrame) -> DataFrame:
         F.col("lon").alias("longitude"),
         "pu_location_id",
     )
-    return keyed.join(small_side(side), ["location_key", "_group"], "left").drop("_group")
+    return keyed.join(side, ["location_key", "_group"], "left").drop("_group")
 
 
 def keys_to_retry(geocodes: DataFrame) -> DataFrame:

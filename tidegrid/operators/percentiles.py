@@ -19,7 +19,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import small_side, stage
+from ..session import stage
 
 
 def exact_percentiles(
@@ -69,7 +69,7 @@ def exact_percentiles(
     )
 
     counted = (
-        base.join(small_side(brackets), _null_safe(base, brackets, keys))
+        base.join(brackets, _null_safe(base, brackets, keys))
         .select(
             *[base[key] for key in keys],
             "_v",

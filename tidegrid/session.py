@@ -16,6 +16,8 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Side tables come from files; up to this size the planner broadcasts them, above it shuffles.
+    "spark.sql.autoBroadcastJoinThreshold": "10MB",
     # Lets a join reuse a partitioning on part of its keys (grid joins, then slot windows).
     "spark.sql.requireAllClusterKeysForCoPartition": "false",
     # A rerun of one month replaces that month only.

@@ -7,15 +7,29 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
+_TYPES = {
+    "INT": T.IntegerType(),
+    "DOUBLE": T.DoubleType(),
+    "STRING": T.StringType(),
+    "TIMESTAMP": T.TimestampType(),
+}
+
+
+def _layout(columns: str) -> T.StructType:
+    """``name TYPE, ...`` as a schema of nullable fields, without needing a session."""
+    pairs = [c.split() for c in columns.split(",")]
+    return T.StructType([T.StructField(name, _TYPES[t], True) for name, t in pairs])
+
+
 # --- fixed values: raw layouts -------------------------------------------------------------
-YELLOW_RAW = T.StructType.fromDDL(
+YELLOW_RAW = _layout(
     "vendor_id INT, tpep_pickup_datetime TIMESTAMP, tpep_dropoff_datetime TIMESTAMP, "
     "passenger_count INT, trip_distance DOUBLE, ratecode_id INT, store_and_fwd_flag STRING, "
     "pu_location_id INT, do_location_id INT, payment_type INT, fare_amount DOUBLE, extra DOUBLE, "
     "mta_tax DOUBLE, tip_amount DOUBLE, tolls_amount DOUBLE, improvement_surcharge DOUBLE, "
     "total_amount DOUBLE, congestion_surcharge DOUBLE, airport_fee DOUBLE, cbd_congestion_fee DOUBLE"
 )
-GREEN_RAW = T.StructType.fromDDL(
+GREEN_RAW = _layout(
     "vendor_id INT, lpep_pickup_datetime TIMESTAMP, lpep_dropoff_datetime TIMESTAMP, "
     "store_and_fwd_flag STRING, ratecode_id INT, pu_location_id INT, do_location_id INT, "
     "passenger_count INT, trip_distance DOUBLE, fare_amount DOUBLE, extra DOUBLE, mta_tax DOUBLE, "
@@ -55,7 +69,7 @@ CLEAN_RENAMES = {
 }
 
 # --- fixed values: clean layout, in order ------------------------------------------------------
-CLEAN = T.StructType.fromDDL(
+CLEAN = _layout(
     "taxi_type STRING, vendor_id INT, pickup_datetime TIMESTAMP, dropoff_datetime TIMESTAMP, "
     "trip_duration_minutes DOUBLE, passenger_count INT, trip_distance DOUBLE, ratecode_id INT, "
     "store_and_fwd_flag STRING, pu_location_id INT, do_location_id INT, payment_type INT, "
@@ -63,7 +77,7 @@ CLEAN = T.StructType.fromDDL(
     "tolls_amount DOUBLE, ehail_fee DOUBLE, improvement_surcharge DOUBLE, total_amount DOUBLE, "
     "congestion_surcharge DOUBLE, cbd_congestion_fee DOUBLE, airport_fee DOUBLE"
 )
-PROVENANCE = T.StructType.fromDDL(
+PROVENANCE = _layout(
     "source_dataset STRING, source_file STRING, source_year INT, source_month INT, "
     "ingestion_timestamp STRING"
 )
@@ -106,18 +120,18 @@ WINDOW_WEEKS = 8
 MIN_NONZERO_WEEKS = 8
 
 # --- fixed values: side tables ---------------------------------------------------------------------
-ZONE_LOOKUP = T.StructType.fromDDL("LocationID INT, Borough STRING, Zone STRING, service_zone STRING")
-WEATHER_RAW = T.StructType.fromDDL(
+ZONE_LOOKUP = _layout("LocationID INT, Borough STRING, Zone STRING, service_zone STRING")
+WEATHER_RAW = _layout(
     "station STRING, valid STRING, tmpf STRING, dwpf STRING, relh STRING, sknt STRING, gust STRING, "
     "vsby STRING, p01i STRING, skyc1 STRING, wxcodes STRING"
 )
 WEATHER_READINGS = ["tmpf", "dwpf", "relh", "sknt", "gust", "vsby", "p01i"]
-WEATHER_CLEAN = T.StructType.fromDDL(
+WEATHER_CLEAN = _layout(
     "date_hour TIMESTAMP, tmpf DOUBLE, dwpf DOUBLE, relh DOUBLE, sknt DOUBLE, gust DOUBLE, "
     "vsby DOUBLE, p01i DOUBLE, skyc1 STRING, wxcodes STRING, weather_severity STRING"
 )
-HOLIDAYS_RAW = T.StructType.fromDDL("Date STRING, Holiday STRING")
-GEOCODES = T.StructType.fromDDL("location_key STRING, borough STRING, lat DOUBLE, lon DOUBLE")
+HOLIDAYS_RAW = _layout("Date STRING, Holiday STRING")
+GEOCODES = _layout("location_key STRING, borough STRING, lat DOUBLE, lon DOUBLE")
 EVENT_COLUMNS = [
     "event_id",
     "event_name",
