@@ -1 +1,6 @@
+"""Queries over the driver's tables; importing this package registers all of them."""
 
+from . import cleaning_queries, grid_queries
+from .registry import QUERIES, TWINS
+
+__all__ = ["QUERIES", "TWINS", "cleaning_queries", "grid_queries"]

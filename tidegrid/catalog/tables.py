@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.columns import demand_ratio
+from ..functions.columns import demand_ratio, slot_columns
 from ..operators import baseline, externals, grid
 from ..session import configure, stage
 

@@ -60,18 +60,22 @@ def weather_severity(
     return F.when(severe, "severe").when(mild, "mild").otherwise("normal")
 
 
+def _strip(text: Column) -> Column:
+    return F.regexp_replace(text, r"^\s+|\s+$", "")
+
+
 def location_key(text: Column) -> Column:
     """Place part of a location text: up to the first colon, then up to the word "between"."""
-    head = F.trim(F.substring_index(text, ":", 1))
-    return F.coalesce(F.trim(F.regexp_replace(head, r"(?is)\bbetween\b.*$", "")), F.lit(""))
+    head = _strip(F.substring_index(text, ":", 1))
+    return F.coalesce(_strip(F.regexp_replace(head, r"(?is)\bbetween\b.*$", "")), F.lit(""))
 
 
 def simpler_key(key: Column) -> Column:
     """Shorter spelling to look up when a key was not found; NULL when there is none."""
     text = F.regexp_replace(key, r"\s*\([^)]*\)", "")
-    text = F.trim(F.substring_index(text, "/", 1))
+    text = _strip(F.substring_index(text, "/", 1))
     text = F.regexp_replace(text, r"(?i)\s+and\s+\w+$", "")
-    text = F.trim(F.regexp_replace(text, r"(?i)\s+(West|East|North|South)$", ""))
+    text = _strip(F.regexp_replace(text, r"(?i)\s+(West|East|North|South)$", ""))
     return F.when((text != "") & (text != key), text)
 
 

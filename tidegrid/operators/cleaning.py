@@ -75,7 +75,8 @@ def keep_first(
 
     The survivor is the smallest in ``order_by``, then in the remaining columns, so reruns agree.
     With ``prefilter`` only rows whose key hash occurs twice go through the wide grouping; all other
-    rows stay where they are. A hash collision merely sends a row through the exact grouping.
+    rows stay where they are. The repeated hashes are written first, so the planner sees their size
+    and broadcasts them only when they are few. A hash collision merely sends a row through the exact grouping.
     """
     group = [*(by or []), *[k for k in keys if k not in (by or [])]]
     rest = [*(order_by or []), *[c for c in df.columns if c not in group and c not in (order_by or [])]]
