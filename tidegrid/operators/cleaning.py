@@ -54,7 +54,7 @@ def _keep_one(df: DataFrame, group: list[str], rest: list[str]) -> DataFrame:
     return out.select(*group, "_copies", *([F.col("_keep.*")] if rest else []))
 
 
-def duplicate_hashes(df: DataFrame, keys: list[str]) -> DataFrame:
+def repeated_hashes(df: DataFrame, keys: list[str]) -> DataFrame:
     """64-bit hashes of key tuples seen more than once: the only shuffle is 8 bytes per row."""
     return (
         df.groupBy(F.xxhash64(*keys).alias("_h"))
@@ -69,21 +69,20 @@ def keep_first(
     keys: list[str],
     order_by: list[str] | None = None,
     by: list[str] | None = None,
-    prefilter: bool = False,
+    repeated: DataFrame | None = None,
 ) -> DataFrame:
     """``df`` without duplicates of ``keys`` (NULLs equal), plus ``_copies`` per kept row.
 
     The survivor is the smallest in ``order_by``, then in the remaining columns, so reruns agree.
-    With ``prefilter`` only rows whose key hash occurs twice go through the wide grouping; all other
-    rows stay where they are. The repeated hashes are written first, so the planner sees their size
-    and broadcasts them only when they are few. A hash collision merely sends a row through the exact grouping.
+    Given ``repeated`` (distinct ``_h`` of :func:`repeated_hashes` over ``by`` and ``keys``, stored so
+    that the planner knows its size), only rows with such a hash go through the wide grouping and all
+    others stay where they are. A hash collision merely sends a row through the exact grouping.
     """
-    group = [*(by or []), *[k for k in keys if k not in (by or [])]]
+    group = _group(keys, by)
     rest = [*(order_by or []), *[c for c in df.columns if c not in group and c not in (order_by or [])]]
     columns = [*df.columns, "_copies"]
-    if not prefilter:
+    if repeated is None:
         return _keep_one(df, group, rest).select(*columns)
-    repeated = stage(duplicate_hashes(df, group), "duplicate-hashes")
     marked = df.withColumn("_h", F.xxhash64(*group)).join(
         repeated.withColumn("_twice", F.lit(True)), "_h", "left"
     )
@@ -92,6 +91,10 @@ def keep_first(
     return single.select(*columns).unionByName(_keep_one(suspects, group, rest).select(*columns))
 
 
+def _group(keys: list[str], by: list[str] | None) -> list[str]:
+    return [*(by or []), *[k for k in keys if k not in (by or [])]]
+
+
 def audit(
     df: DataFrame,
     rules: list[Rule],
@@ -104,33 +107,40 @@ def audit(
 
     Rules before deduplication get ordinals from 1, deduplication the next, later rules the rest.
     ``_removed_by`` is NULL for clean rows. Rows folded per rule have NULL business columns.
+
+    The plain form is one scan and one shuffle of whole records. With ``prefilter`` a first scan
+    counts broken records and key hashes, and only records whose hash repeats are shuffled whole:
+    two scans and a shuffle of 8 bytes a record, the right trade once records outgrow the shuffle disks.
     """
     by = by or []
     before = list(enumerate([r for r in rules if not r.after_dedup], 1))
     after = list(enumerate([r for r in rules if r.after_dedup], len(before) + 2))
     tagged = df.withColumn("_rule", _first_broken(before))
     keys = keys or list(df.columns)
+    live = F.col("_rule").isNull()
     if prefilter:
-        # The broken side is only counted, so it reads nothing but rule columns.
-        broken = tagged.where(F.col("_rule").isNotNull()).groupBy("_rule", *by).agg(
-            F.count(F.lit(1)).alias("_copies")
+        counted = stage(
+            tagged.groupBy("_rule", *by, F.when(live, F.xxhash64(*_group(keys, by))).alias("_h"))
+            .agg(F.count(F.lit(1)).alias("_copies"))
+            .where(~live | (F.col("_copies") > 1)),
+            "broken-and-repeated",
         )
         kept = keep_first(
-            tagged.where(F.col("_rule").isNull()).drop("_rule"), keys, order_by, by, prefilter=True
+            tagged.where(live).drop("_rule"), keys, order_by, by, counted.where(live).select("_h").distinct()
         )
         grouped = kept.withColumn("_rule", F.lit(None).cast("int")).unionByName(
-            broken, allowMissingColumns=True
+            counted.where(~live).drop("_h"), allowMissingColumns=True
         )
     else:
-        live = F.col("_rule").isNull()
         folded = tagged.select(
             "_rule", *by, *[F.when(live, F.col(c)).alias(c) for c in df.columns if c not in by]
         )
+        group = _group(keys, by)
+        ordered = order_by or []
         grouped = _keep_one(
             folded,
-            ["_rule", *by, *[k for k in keys if k not in by]],
-            [*(order_by or []),
-             *[c for c in df.columns if c not in keys and c not in by and c not in (order_by or [])]],
+            ["_rule", *group],
+            [*ordered, *[c for c in df.columns if c not in group and c not in ordered]],
         )
     removed_by = F.coalesce(F.col("_rule"), _first_broken(after))
     return grouped.withColumn("_removed_by", removed_by).select(*df.columns, *_AUDIT)
