@@ -1,6 +1,13 @@
 """Queries over the driver's tables; importing this package registers all of them."""
 
-from . import cleaning_queries, evaluation_queries, external_queries, grid_queries
+from . import (
+    cleaning_queries,
+    evaluation_queries,
+    external_queries,
+    grid_queries,
+    model_queries,
+    source_queries,
+)
 from .registry import QUERIES, TWINS
 
 __all__ = [
@@ -10,4 +17,6 @@ __all__ = [
     "evaluation_queries",
     "external_queries",
     "grid_queries",
+    "model_queries",
+    "source_queries",
 ]

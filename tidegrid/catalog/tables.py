@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from ..functions.columns import demand_ratio, slot_columns
 from ..operators import baseline, externals, grid
@@ -27,10 +28,19 @@ TRIP_PLACES = (1, 23)
 TRIP_MAX_MINUTES = 2_000_000
 
 
+_schemas: dict[str, StructType] = {}
+
+
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One table, its wall-clock times as UTC timestamps."""
+    """One table, its wall-clock times as UTC timestamps.
+
+    The schema of a file is looked up once; later reads need no job for it.
+    """
     configure(spark)
-    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    path = f"{sf_dir}/{name}.parquet"
+    if path not in _schemas:
+        _schemas[path] = spark.read.parquet(path).schema
+    df = spark.read.schema(_schemas[path]).parquet(path)
     times = [n for n, t in df.dtypes if t == "timestamp_ntz"]
     return df.withColumns({n: F.col(n).cast("timestamp") for n in times})
 

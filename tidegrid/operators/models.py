@@ -262,11 +262,11 @@ def importance(
     """
     order = F.xxhash64(*[F.col(k) for k in ROW_KEY], F.lit(seed))
     picked = stage(
-        rows.select(*ROW_KEY, *columns, TARGET)
+        rows.select(order.alias("_order"), F.struct(*ROW_KEY).alias("_key"), *columns, TARGET)
         .na.drop()
-        .orderBy(order, *ROW_KEY)
+        .orderBy("_order", "_key")
         .limit(sample)
-        .withColumn("_rank", F.row_number().over(Window.orderBy(order, *ROW_KEY))),
+        .withColumn("_rank", F.row_number().over(Window.orderBy("_order", "_key"))),
         "importance-sample",
     )
     variants = [("", 0)] + [(c, r) for c in columns for r in range(repeats)]

@@ -14,6 +14,13 @@ from pyspark.sql import types as T
 from . import schemas as S
 
 
+_PERIOD_FIELDS = [
+    T.StructField("_file", T.StringType()),
+    T.StructField("_year", T.IntegerType()),
+    T.StructField("_month", T.IntegerType()),
+]
+
+
 def parse_file_name(kind: str, name: str) -> tuple[int, int]:
     """(year, month) of one file name; anything unexpected is an error, never a guess."""
     found = re.match(S.FILE_PATTERNS[kind], name)
@@ -38,6 +45,11 @@ def period_columns(kind: str, name: Column) -> tuple[Column, Column]:
     ).otherwise(bad)
 
 
+def file_name() -> Column:
+    """Name of the file a row came from, with its blanks (the metadata column escapes them)."""
+    return F.url_decode(F.replace("_metadata.file_name", F.lit("+"), F.lit("%2B")))
+
+
 def conform(df: DataFrame, schema: T.StructType, renames: dict[str, str] | None = None) -> DataFrame:
     """Rename, cast and order to ``schema``; absent fields become typed NULL, extra ones go."""
     source_of = {(renames or {}).get(c, c): c for c in df.columns}
@@ -72,7 +84,12 @@ def with_provenance(
 
 def list_files(spark: SparkSession, folder: str, glob: str = "*.parquet") -> list[str]:
     """Paths under ``folder`` as Spark's own file listing sees them (no content is read)."""
-    listing = spark.read.format("binaryFile").option("pathGlobFilter", glob).load(folder)
+    listing = (
+        spark.read.format("binaryFile")
+        .option("pathGlobFilter", glob)
+        .option("recursiveFileLookup", True)
+        .load(folder)
+    )
     return sorted(r.path for r in listing.select("path").collect())
 
 
@@ -107,17 +124,14 @@ def read_landing(spark: SparkSession, kind: str, folder: str, stamp: str | None
     parts = []
     for schema, group in schema_bundles(spark, paths):
         scan = spark.read.schema(schema).parquet(*group)
-        name = F.col("_metadata.file_name")
+        name = file_name()
         year, month = period_columns(kind, name)
         tagged = scan.select(
             "*", name.alias("_file"), year.alias("_year"), month.alias("_month")
         )
         raw = conform(
             tagged,
-            T.StructType(S.RAW_SCHEMAS[kind].fields)
-            .add("_file", "string")
-            .add("_year", "int")
-            .add("_month", "int"),
+            T.StructType([*S.RAW_SCHEMAS[kind].fields, *_PERIOD_FIELDS]),
             S.RENAMES[kind],
         )
         parts.append(
@@ -144,7 +158,7 @@ def landing_profile(spark: SparkSession, kind: str, folder: str) -> DataFrame:
     for schema, group in schema_bundles(spark, list_files(spark, folder)):
         scan = spark.read.schema(schema).parquet(*group)
         parts.append(
-            scan.groupBy(F.col("_metadata.file_name").alias("source_file")).agg(
+            scan.groupBy(file_name().alias("source_file")).agg(
                 F.count(F.lit(1)).alias("landing_row_count"),
                 F.lit(len(schema)).alias("landing_column_count"),
                 sum((F.count_if(F.col(f"`{c}`").isNull()) for c in schema.names), F.lit(0)).alias(
