@@ -269,39 +269,43 @@ def importance(
         .withColumn("_rank", F.row_number().over(Window.orderBy("_order", "_key"))),
         "importance-sample",
     )
-    variants = [("", 0)] + [(c, r) for c in columns for r in range(repeats)]
-    labelled = picked.withColumn(
-        "_v",
-        F.explode(
-            F.array(*[F.struct(F.lit(c).alias("column"), F.lit(r).alias("repeat")) for c, r in variants])
+    # Variant 0 is the sample as it is; input i is shuffled in the variants (i + 1, repeat).
+    variants = [(0, 0)] + [(i, r) for i in range(1, len(columns) + 1) for r in range(repeats)]
+    labelled = picked.select(
+        "*",
+        F.inline(
+            F.array(*[F.struct(F.lit(i).alias("_input"), F.lit(r).alias("_repeat")) for i, r in variants])
         ),
-    ).select("*", F.col("_v.column").alias("_column"), F.col("_v.repeat").alias("_repeat"))
-    shuffled = Window.partitionBy("_column", "_repeat").orderBy(
-        F.xxhash64("_rank", "_column", "_repeat", F.lit(seed)), "_rank"
+    )
+    shuffled = Window.partitionBy("_input", "_repeat").orderBy(
+        F.xxhash64("_rank", "_input", "_repeat", F.lit(seed)), "_rank"
     )
     donors = picked.select(
         F.col("_rank").alias("_donor"),
-        F.create_map(*[x for c in columns for x in (F.lit(c), F.col(c).cast("double"))]).alias("_values"),
-    )
+        F.posexplode(F.array(*[F.col(c).cast("double") for c in columns])).alias("_position", "_value"),
+    ).select("_donor", (F.col("_position") + 1).alias("_input"), "_value")
     mixed = labelled.withColumn("_donor", F.row_number().over(shuffled)).join(
-        F.broadcast(donors) if sample <= 200_000 else donors, "_donor"
+        donors, ["_donor", "_input"], "left"
     )
     replaced = mixed.withColumns(
         {
-            c: F.when(F.col("_column") == c, F.col("_values")[c]).otherwise(F.col(c).cast("double"))
-            for c in columns
+            c: F.when(F.col("_input") == i, F.col("_value")).otherwise(F.col(c).cast("double"))
+            for i, c in enumerate(columns, 1)
         }
     )
     scored = model.transform(assemble(_keep_metadata(replaced, rows, columns), list(columns)))
     error = F.pow(F.col(TARGET) - F.col("prediction"), 2)
-    r2 = scored.groupBy("_column", "_repeat").agg(
+    r2 = scored.groupBy("_input", "_repeat").agg(
         (1 - F.sum(error) / (F.var_pop(TARGET) * F.count(F.lit(1)))).alias("_r2")
     )
-    base = r2.where(F.col("_column") == "").select(F.col("_r2").alias("_base"))
+    names = F.array(*[F.lit(c) for c in columns])
+    # One row per variant; they are written so that base and rest share one scoring run.
+    losses = stage(r2, "importance-scores")
+    base = losses.where(F.col("_input") == 0).select(F.col("_r2").alias("_base"))
     return (
-        r2.where(F.col("_column") != "")
-        .join(F.broadcast(base), F.lit(True))  # one row
-        .groupBy(F.col("_column").alias("feature"))
+        losses.where(F.col("_input") > 0)
+        .join(F.broadcast(base), F.lit(True))
+        .groupBy(F.element_at(names, F.col("_input")).alias("feature"))
         .agg(F.avg(F.col("_base") - F.col("_r2")).alias("importance"))
     )
 

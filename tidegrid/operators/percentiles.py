@@ -7,7 +7,7 @@ for groups with a known ceiling. Without one, two passes over the column do the
 2. values inside a bracket are counted per distinct value, values below it are counted as one, and
    the running count finds the wanted ranks.
 
-The ranked part holds about ``8 / accuracy`` of a group. Both passes combine on the map side, so a
+The ranked part holds about ``8 / accuracy`` of a group (all of it, up to ``accuracy`` rows). Both passes combine on the map side, so a
 group with a third of all rows is spread over as many tasks as the scan has. A rank that a bracket
 missed is an error, never a wrong number.
 """
@@ -48,7 +48,9 @@ def exact_percentiles(
         F.max("_v").alias("_max"),
         F.percentile_approx("_v", lows + highs, accuracy).alias("_q"),
     )
-    # A bracket that reaches an end of the group is opened to the true end.
+    # A small group is ranked whole: there the slack is less than a rank. In a larger one it covers
+    # the error of the sketch and the neighbour that interpolation needs.
+    whole = F.col("n_obs") <= accuracy
     brackets = stage(
         sketched.select(
             *keys,
@@ -58,8 +60,12 @@ def exact_percentiles(
                     F.struct(
                         F.lit(i).alias("i"),
                         (F.lit(float(p)) * (F.col("n_obs") - 1)).alias("rank"),
-                        (F.col("_min") if lows[i] == 0.0 else F.col("_q")[i]).alias("lo"),
-                        (F.col("_max") if highs[i] == 1.0 else F.col("_q")[k + i]).alias("hi"),
+                        F.when(whole | F.lit(lows[i] == 0.0), F.col("_min"))
+                        .otherwise(F.col("_q")[i])
+                        .alias("lo"),
+                        F.when(whole | F.lit(highs[i] == 1.0), F.col("_max"))
+                        .otherwise(F.col("_q")[k + i])
+                        .alias("hi"),
                     )
                     for i, p in enumerate(probabilities)
                 ]
