@@ -210,7 +210,7 @@ def test_a_place_without_a_value_is_an_error(spark):
 def test_zone_lookup(spark, tmp_path):
     (tmp_path / "z.csv").write_text(
         '"LocationID","Borough","Zone","service_zone"\n1,"EWR","Newark Airport","EWR"\n2,"Queens","Jamaica Bay","Boro Zone"\n'
-        '264,"Unknown","N/A","N/A"\n265,"N/A","Outside of NYC","N/A"\n'
+        '264,"Unknown","N/A","N/A"\n265,"N/A","Outside","N/A"\n'
     )
     zones = dimensions.read_zones(spark, str(tmp_path / "z.csv"))
     assert rows(dimensions.real_places(zones), "pu_location_id") == [(1,), (2,)]

@@ -53,7 +53,7 @@ def test_linear_features(spark, processed):
     assert nulls == 0
 
 
-def test_reference_width_of_the_feature_sets():
+def test_width_of_the_feature_sets():
     six = features.Domains(borough=("Bronx", "Brooklyn", "EWR", "Manhattan", "Queens", "Staten Island"))
     assert len(features.feature_columns("linear", six)) == 65
     assert len(features.feature_columns("gradient_boosting", six)) == 17

@@ -20,12 +20,11 @@ def trip_rules():
     return rules.trip_rules(t.TRIP_PLACES, t.TRIP_PERIOD, t.TRIP_MAX_MINUTES)
 
 
-def audited(spark, sf_dir, prefilter: bool = True):
-    """The audit table, written once: ledger and clean rows are two reads of it."""
-    table = cleaning.audit(
+def audited(spark, sf_dir, prefilter: bool = False):
+    """The audit table. A quarter of these records are copies, so the plain form suits them."""
+    return cleaning.audit(
         t.trips(spark, sf_dir), trip_rules(), KEYS, ORDER, by=["taxi_type"], prefilter=prefilter
     )
-    return stage(table, "audit")
 
 
 _RULE_ROWS = [
@@ -64,7 +63,7 @@ SELECT {', '.join(CLEAN_COLUMNS)}, {t.text_sql('pickup_datetime')}, {t.text_sql(
 FROM clean"""
 )
 def clean_rows(spark, sf_dir):
-    return cleaning.clean_rows(audited(spark, sf_dir)).select(
+    return cleaning.clean_rows(audited(spark, sf_dir, prefilter=True)).select(
         *CLEAN_COLUMNS, t.text("pickup_datetime"), t.text("dropoff_datetime")
     )
 
@@ -103,7 +102,7 @@ SELECT count(*) AS total_rows, count(*) FILTER (WHERE rn = 1) AS distinct_rows,
 FROM audited WHERE first_rule IS NULL"""
 )
 def dedup_profile(spark, sf_dir):
-    return cleaning.duplicate_profile(audited(spark, sf_dir, prefilter=False))
+    return cleaning.duplicate_profile(audited(spark, sf_dir))
 
 
 @query(
@@ -121,7 +120,7 @@ SELECT order_key, vendor_id, taxi_type,
 FROM clean JOIN scaled USING (taxi_type)"""
 )
 def extreme_flags(spark, sf_dir):
-    kept = cleaning.clean_rows(audited(spark, sf_dir))
+    kept = cleaning.clean_rows(stage(audited(spark, sf_dir), "audit"))
     flagged = cleaning.flag_extremes(kept, cleaning.extreme_thresholds(kept, MEASURED), MEASURED)
     return flagged.select(
         "order_key", "vendor_id", "taxi_type", "is_extreme_trip_distance", "is_extreme_trip_duration"

@@ -4,19 +4,20 @@ Spark's ``percentile`` keeps every distinct value of a group in one aggregation
 for groups with a known ceiling. Without one, two passes over the column do the same job:
 
 1. a mergeable sketch per group gives, for each percentile, a bracket that must contain it;
-2. values inside a bracket are counted per distinct value, values below it are counted as one, and
-   the running count finds the wanted ranks.
+2. values inside a bracket are counted per distinct value, the values between two brackets are
+   counted as one, and the running count finds the wanted ranks.
 
-The ranked part holds about ``8 / accuracy`` of a group (all of it, up to ``accuracy`` rows). Both passes combine on the map side, so a
-group with a third of all rows is spread over as many tasks as the scan has. A rank that a bracket
-missed is an error, never a wrong number.
+A value makes one row of the second pass, and the ranked part holds about ``8 / accuracy`` of a group
+per percentile (all of it, up to ``accuracy`` rows). Both passes combine on the map side, so a group
+with a third of all rows is spread over as many tasks as the scan has. A rank that falls between the
+brackets is an error, never a wrong number.
 """
 
 from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import stage
@@ -37,11 +38,49 @@ def exact_percentiles(
     keys = by or ["_all"]
     base = df if by else df.withColumn("_all", F.lit(1))
     base = base.select(*keys, F.col(value).cast("double").alias("_v")).where(F.col("_v").isNotNull())
+    brackets = stage(_brackets(base, keys, probabilities, accuracy), "percentile-brackets")
+    span = range(len(probabilities))
 
+    inside = reduce(lambda a, b: a | b, [F.col("_v").between(F.col(f"_lo{i}"), F.col(f"_hi{i}")) for i in span])
+    # Between brackets: the last bracket end before the value, NULL below all brackets.
+    ends = [F.when(F.col(f"_hi{i}") < F.col("_v"), F.col(f"_hi{i}")) for i in span]
+    before = F.greatest(*ends) if len(ends) > 1 else ends[0]
+    counted = (
+        base.join(brackets, _same(base, brackets, keys))
+        .select(
+            *[base[k] for k in keys],
+            "n_obs",
+            F.when(inside, F.col("_v")).otherwise(before).alias("_at"),
+            (~inside).alias("_between"),
+        )
+        .groupBy(*keys, "n_obs", "_at", "_between")
+        .agg(F.count(F.lit(1)).alias("_n"))
+    )
+    order = Window.partitionBy(*keys).orderBy(F.col("_at").asc_nulls_first(), "_between")
+    ranked = counted.withColumn("_to", F.sum("_n").over(order))
+
+    def at(rank: Column) -> Column:
+        here = (rank >= F.col("_to") - F.col("_n")) & (rank < F.col("_to")) & ~F.col("_between")
+        return F.max(F.when(here, F.col("_at")))
+
+    ranks = [F.lit(float(p)) * (F.col("n_obs") - 1) for p in probabilities]
+    picked = ranked.groupBy(*keys, "n_obs").agg(
+        *[at(F.floor(r)).alias(f"_lower{i}") for i, r in enumerate(ranks)],
+        *[at(F.ceil(r)).alias(f"_upper{i}") for i, r in enumerate(ranks)],
+    )
+    missed = F.raise_error(F.lit("percentile rank outside its bracket")).cast("double")
+    values = []
+    for i, rank in enumerate(ranks):
+        low, high = F.col(f"_lower{i}"), F.col(f"_upper{i}")
+        values.append(F.coalesce(low + (high - low) * (rank - F.floor(rank)), missed))
+    return picked.select(*by, "n_obs", F.array(*values).alias("percentiles"))
+
+
+def _brackets(base: DataFrame, keys: list[str], probabilities: list[float], accuracy: int) -> DataFrame:
+    """One row per group: its size and the bracket of every percentile."""
     slack = 4.0 / accuracy
     lows = [max(0.0, p - slack) for p in probabilities]
     highs = [min(1.0, p + slack) for p in probabilities]
-    k = len(probabilities)
     sketched = base.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("n_obs"),
         F.min("_v").alias("_min"),
@@ -51,71 +90,17 @@ def exact_percentiles(
     # A small group is ranked whole: there the slack is less than a rank. In a larger one it covers
     # the error of the sketch and the neighbour that interpolation needs.
     whole = F.col("n_obs") <= accuracy
-    brackets = stage(
-        sketched.select(
-            *keys,
-            "n_obs",
-            F.array(
-                *[
-                    F.struct(
-                        F.lit(i).alias("i"),
-                        (F.lit(float(p)) * (F.col("n_obs") - 1)).alias("rank"),
-                        F.when(whole | F.lit(lows[i] == 0.0), F.col("_min"))
-                        .otherwise(F.col("_q")[i])
-                        .alias("lo"),
-                        F.when(whole | F.lit(highs[i] == 1.0), F.col("_max"))
-                        .otherwise(F.col("_q")[k + i])
-                        .alias("hi"),
-                    )
-                    for i, p in enumerate(probabilities)
-                ]
-            ).alias("_b"),
-        ),
-        "percentile-brackets",
-    )
-
-    counted = (
-        base.join(brackets, _null_safe(base, brackets, keys))
-        .select(
-            *[base[key] for key in keys],
-            "_v",
-            F.explode(F.filter("_b", lambda b: F.col("_v") <= b["hi"])).alias("_t"),
-        )
-        .groupBy(
-            *keys,
-            F.col("_t.i").alias("_i"),
-            F.col("_t.rank").alias("_rank"),
-            F.when(F.col("_v") >= F.col("_t.lo"), F.col("_v")).alias("_v"),
-        )
-        .agg(F.count(F.lit(1)).alias("_n"))
-    )
-    order = Window.partitionBy(*keys, "_i").orderBy(F.col("_v").asc_nulls_first())
-    ranked = counted.withColumn("_to", F.sum("_n").over(order))
-    floor_rank, ceil_rank = F.floor("_rank"), F.ceil("_rank")
-
-    def value_at(rank):
-        here = (rank >= F.col("_to") - F.col("_n")) & (rank < F.col("_to"))
-        return F.max(F.when(here, F.col("_v")))
-
-    picked = ranked.groupBy(*keys, "_i", "_rank").agg(
-        value_at(floor_rank).alias("_lower"), value_at(ceil_rank).alias("_upper")
-    )
-    share = F.col("_rank") - F.floor("_rank")
-    missed = F.raise_error(F.lit("percentile bracket missed its rank")).cast("double")
-    value = F.coalesce(F.col("_lower") + (F.col("_upper") - F.col("_lower")) * share, missed)
-    collected = picked.groupBy(*keys).agg(
-        F.transform(
-            F.array_sort(F.collect_list(F.struct("_i", value.alias("v")))), lambda s: s["v"]
-        ).alias("percentiles")
-    )
-    out = brackets.join(collected, _null_safe(brackets, collected, keys)).select(
-        *[brackets[key] for key in by], "n_obs", "percentiles"
-    )
-    return out
+    quantile = F.col("_q")
+    ends = []
+    for i, (low, high) in enumerate(zip(lows, highs)):
+        low_end = F.when(whole | F.lit(low == 0.0), F.col("_min")).otherwise(quantile[i])
+        high_end = F.when(whole | F.lit(high == 1.0), F.col("_max")).otherwise(quantile[len(lows) + i])
+        ends += [low_end.alias(f"_lo{i}"), high_end.alias(f"_hi{i}")]
+    return sketched.select(*keys, "n_obs", *ends)
 
 
-def _null_safe(left: DataFrame, right: DataFrame, keys: list[str]):
-    return reduce(lambda a, b: a & b, [left[key].eqNullSafe(right[key]) for key in keys])
+def _same(left: DataFrame, right: DataFrame, keys: list[str]) -> Column:
+    return reduce(lambda a, b: a & b, [left[k].eqNullSafe(right[k]) for k in keys])
 
 
 def bounded_percentiles(

@@ -86,7 +86,7 @@ def clean(spark: SparkSession, layout: Layout) -> DataFrame:
     kept = cleaning.clean_rows(audited)
     measured = ["trip_distance", "trip_duration_minutes"]
     flagged = cleaning.flag_extremes(kept, cleaning.extreme_thresholds(kept, measured), measured)
-    tables.write_clean(flagged, layout.path("clean"))
+    tables.write_clean(flagged, layout.path("clean"), in_place=True)
 
     ledger = stage(cleaning.ledger(audited, rule_list, "taxi_type"), "ledger")
     reports.write_report(ledger, layout.path("reports", "cleaning_ledger"), "csv")

@@ -7,71 +7,45 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
-def write_partitioned(
-    df: DataFrame, path: str, partition_by: list[str], spread_by: list[str] | None = None
-) -> None:
-    """Overwrite only the partitions present in ``df``.
-
-    ``spread_by`` adds columns to the shuffle key, so that one large partition value is written by
-    many tasks; without it the rows of a value meet in one task, which suits small values only.
-    A spread write keeps every row; it just makes more than one file per value.
-    """
-    keys = [*partition_by, *(spread_by or [])]
+def _write(df: DataFrame, path: str, partition_by: list[str]) -> None:
+    """Overwrite only the partitions present in ``df``."""
     (
-        df.repartition(*keys)
-        .write.mode("overwrite")
+        df.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*partition_by)
         .parquet(path)
     )
 
 
-def write_in_place(df: DataFrame, path: str, partition_by: list[str]) -> None:
-    """As :func:`write_partitioned` but without a shuffle.
+def _rebalanced(df: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows of a key together, as far as one task can hold them.
 
-    For tables whose tasks already see few partition values each (a scan of month files).
+    Adaptive execution splits keys that are too large and merges keys that are small, so a month
+    with a third of all rows becomes several well-sized files and not one huge task.
     """
-    (
-        df.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*partition_by)
-        .parquet(path)
-    )
+    return df.hint("rebalance", *keys)
 
 
 def write_raw(df: DataFrame, path: str) -> None:
     """Raw layer: folders by kind, year and month. Scan tasks are per month already: no shuffle."""
-    write_in_place(
-        df.withColumn("taxi_type", F.regexp_replace("source_dataset", "_taxi$", "")),
-        path,
-        ["taxi_type", "source_year", "source_month"],
-    )
+    kind = F.regexp_replace("source_dataset", "_taxi$", "")
+    _write(df.withColumn("taxi_type", kind), path, ["taxi_type", "source_year", "source_month"])
 
 
-def write_clean(df: DataFrame, path: str) -> None:
+def write_clean(df: DataFrame, path: str, in_place: bool = False) -> None:
     """Clean layer: year and month stay readable as partition columns.
 
-    The pickup day joins the shuffle key so that a month is written by up to 31 tasks.
+    ``in_place`` skips the shuffle. It suits rows that still lie month by month, as they do after a
+    prefiltered audit of the raw layer; for scattered rows it would make many small files.
     """
-    (
-        df.repartition("taxi_type", "source_year", "source_month", F.to_date("pickup_datetime"))
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("taxi_type", "source_year", "source_month")
-        .parquet(path)
-    )
+    keys = ["taxi_type", "source_year", "source_month"]
+    _write(df if in_place else _rebalanced(df, keys), path, keys)
 
 
 def write_processed(df: DataFrame, path: str, time: str = "pickup_hour") -> None:
     """Processed layer: folders by kind and calendar month of the cell."""
-    keyed = df.withColumn("year_month", F.date_format(time, "yyyy-MM"))
-    (
-        keyed.repartition("taxi_type", "year_month", F.to_date(time))
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("taxi_type", "year_month")
-        .parquet(path)
-    )
+    keys = ["taxi_type", "year_month"]
+    _write(_rebalanced(df.withColumn("year_month", F.date_format(time, "yyyy-MM")), keys), path, keys)
 
 
 def read_table(
