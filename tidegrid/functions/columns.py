@@ -61,7 +61,7 @@ def weather_severity(
 
 
 def _strip(text: Column) -> Column:
-    return F.regexp_replace(text, r"^\s+|\s+$", "")
+    return F.btrim(text, F.lit(" \t\n\r\x0b\f"))
 
 
 def location_key(text: Column) -> Column:
