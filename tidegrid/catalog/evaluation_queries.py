@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..functions.columns import slot_columns
 from ..operators import dtdi, explore, metrics, topk
 from . import tables as t
 from .registry import query
@@ -384,7 +385,7 @@ def spatial_concentration(spark, sf_dir):
 SELECT day_of_week, hour_of_day, {t.rnd_sql('avg(demand)')} AS mean_demand FROM all_kinds GROUP BY 1, 2"""
 )
 def temporal_patterns(spark, sf_dir):
-    slots = explore.slot_means(t.slot_columns(t.hour_grid(spark, sf_dir)))
+    slots = explore.slot_means(slot_columns(t.hour_grid(spark, sf_dir)))
     return _rounded(slots, ["mean_demand"])
 
 
@@ -406,7 +407,7 @@ SELECT {t.rnd_sql('(SELECT m FROM days WHERE day_of_week = 2)')} AS monday,
   {t.rnd_sql('(SELECT m FROM curves WHERE NOT weekday AND hour_of_day = 0) / (SELECT m FROM curves WHERE weekday AND hour_of_day = 0)')} AS midnight_ratio"""
 )
 def rhythm_summary(spark, sf_dir):
-    slots = t.stage(explore.slot_means(t.slot_columns(t.hour_grid(spark, sf_dir))), "slots")
+    slots = t.stage(explore.slot_means(slot_columns(t.hour_grid(spark, sf_dir))), "slots")
     out = explore.rhythm_summary(slots)
     return out.select(
         *[

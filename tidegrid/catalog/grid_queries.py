@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 
+from ..functions.columns import slot_columns
 from ..operators import baseline, grid
 from . import tables as t
 from .registry import query
@@ -47,7 +48,7 @@ SELECT taxi_type, pu_location_id, {t.text_sql('pickup_hour')}, pickup_count,
 FROM windowed"""
 )
 def rolling_slot_baseline(spark, sf_dir):
-    df = baseline.add_rolling_columns(t.slot_columns(t.day_grid(spark, sf_dir)))
+    df = baseline.add_rolling_columns(slot_columns(t.day_grid(spark, sf_dir)))
     return df.select(
         "taxi_type", "pu_location_id", t.text("pickup_hour"), "pickup_count",
         t.rnd("baseline_zone_dow_hour").alias("baseline_zone_dow_hour"), "n_prior_weeks",
@@ -166,6 +167,6 @@ SELECT taxi_type, pu_location_id, {t.text_sql('pickup_hour')}, day_of_week, hour
 )
 def dense_hour_grid(spark, sf_dir):
     seeds = grid.dense_grid(t.places(spark, sf_dir), t.HOUR_KINDS, *t.HOUR_PERIOD)
-    return t.slot_columns(seeds).select(
+    return slot_columns(seeds).select(
         "taxi_type", "pu_location_id", t.text("pickup_hour"), "day_of_week", "hour_of_day"
     )
