@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import byte_bpe, decontaminate, simhash
+from . import byte_bpe, decontaminate, line_dedup, simhash, url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 TWINS: dict[str, str] = {}
@@ -15,6 +15,12 @@ TWINS: dict[str, str] = {}
 BATCH_ROWS = 1_000
 
 
+# Host, path, verdict.
+URL_RULES = [
+    ("com", "/", "allow"), ("example.com", "/en/", "block"), ("www.example.com", "/en/", "allow"), ("net", "/es/", "block"), ("net", "/fr/", "block"),
+]
+
+
 def query(sql: str | None = None):
     """Register a function under its own name, with the SQL that must give the same rows."""
 
@@ -43,6 +49,51 @@ def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.digests(table(spark, sf_dir, "documents"))
 
 
+@query(f"""
+WITH rules(r_host, r_path, r_verdict) AS (VALUES {", ".join(map(str, URL_RULES))}),
+rest AS (
+    SELECT page_id, url, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages
+),
+parts AS (
+    SELECT page_id,
+           translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+           regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path
+    FROM rest
+),
+fits AS (
+    SELECT host, path, arg_max(r_host || r_path, length(r_host || r_path)) AS rule, arg_max(r_verdict, length(r_host || r_path)) AS verdict
+    FROM (SELECT DISTINCT host, path FROM parts) p
+    JOIN rules ON (host = r_host OR ends_with(host, '.' || r_host)) AND starts_with(path, r_path)
+    GROUP BY host, path
+)
+SELECT page_id, p.host, p.path, rule, coalesce(verdict, 'allow') AS verdict
+FROM parts p LEFT JOIN fits f ON p.host = f.host AND p.path = f.path
+""")
+def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
+    return url_filter.filter_urls(table(spark, sf_dir, "pages"), rules)
+
+
+@query(f"""
+WITH lines AS (
+    SELECT doc_id, source, pos, trim(line, ' ') AS k, line
+    FROM (SELECT doc_id, source, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS pos FROM documents)
+),
+common AS (SELECT k, min(doc_id) AS first FROM lines WHERE k <> '' GROUP BY k HAVING count(DISTINCT source) >= {line_dedup.SITES}),
+marked AS (
+    SELECT l.doc_id, pos, line,
+           c.k IS NULL OR (c.first = l.doc_id AND row_number() OVER (PARTITION BY l.doc_id, l.k ORDER BY pos) = 1) AS stays
+    FROM lines l LEFT JOIN common c ON l.k = c.k
+)
+SELECT doc_id, coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE stays), '') AS text,
+       count(*) AS n_lines, count(*) FILTER (WHERE NOT stays) AS n_removed
+FROM marked GROUP BY doc_id
+UNION ALL SELECT doc_id, NULL, 0, 0 FROM documents WHERE text IS NULL
+""")
+def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.strip(table(spark, sf_dir, "documents"), counts=True).select("doc_id", "text", "n_lines", "n_removed")
+
+
 @query()
 def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.digests(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
