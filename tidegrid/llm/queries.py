@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import byte_bpe, decontaminate, line_dedup, simhash, url_filter
+from . import byte_bpe, decontaminate, line_dedup, simhash, toxicity, url_filter, weighted_sampling
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 TWINS: dict[str, str] = {}
@@ -38,6 +38,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query()
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.predictions(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 @query()
 def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = byte_bpe.read_ranks(byte_bpe.tokenizer_file(spark))
@@ -94,6 +99,11 @@ def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.strip(table(spark, sf_dir, "documents"), counts=True).select("doc_id", "text", "n_lines", "n_removed")
 
 
+@query()
+def op8_weighted_sampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return weighted_sampling.fingerprints(table(spark, sf_dir, "documents"))
+
+
 @query()
 def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.digests(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
