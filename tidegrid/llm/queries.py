@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import byte_bpe, decontaminate, line_dedup, simhash, toxicity, url_filter, weighted_sampling
+from . import byte_bpe, decontaminate, language_id, line_dedup, simhash, toxicity, url_filter, warc, wavelet, weighted_sampling
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 TWINS: dict[str, str] = {}
@@ -79,6 +79,21 @@ def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.filter_urls(table(spark, sf_dir, "pages"), rules)
 
 
+@query(f"""
+WITH rows AS (
+    SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest FROM pages
+),
+responses AS (
+    SELECT payload_digest, max(page_id) AS response FROM rows WHERE payload_bytes >= {warc.REVISIT_BYTES} GROUP BY payload_digest
+)
+SELECT page_id, payload_bytes, payload_digest, CASE WHEN page_id < response THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN page_id < response THEN response END AS refers_to
+FROM rows LEFT JOIN responses USING (payload_digest)
+""")
+def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(spark, table(spark, sf_dir, "pages"))
+
+
 @query(f"""
 WITH lines AS (
     SELECT doc_id, source, pos, trim(line, ' ') AS k, line
@@ -99,11 +114,22 @@ def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.strip(table(spark, sf_dir, "documents"), counts=True).select("doc_id", "text", "n_lines", "n_removed")
 
 
+@query()
+def op7_wavelet(spark: SparkSession, sf_dir: str) -> DataFrame:
+    definition = byte_bpe.read_ranks(byte_bpe.tokenizer_file(spark, "word_bpe_49k.json")).decode()
+    return wavelet.digests(spark, table(spark, sf_dir, "documents"), definition)
+
+
 @query()
 def op8_weighted_sampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return weighted_sampling.fingerprints(table(spark, sf_dir, "documents"))
 
 
+@query()
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.predictions(table(spark, sf_dir, "documents"))
+
+
 @query()
 def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.digests(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
