@@ -11,7 +11,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 2 << 20
 # ASCII upper case to lower case, every other byte as it is.
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32

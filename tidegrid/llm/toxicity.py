@@ -41,7 +41,7 @@ CONTEXTS, RATIO = 5, 8.0
 THRESHOLDS = (2, 3, 4, 5, 6, 8)
 PAD = b"." * 16
 # Distinct words whose margins a task remembers.
-KNOWN = 300_000
+KNOWN = 150_000
 # Letters, and every byte of a sign beyond ASCII.
 IS_WORD = np.zeros(256, bool)
 IS_WORD[97:123] = IS_WORD[128:] = True
@@ -84,6 +84,12 @@ class Model:
         self.dictionaries, self.curve = state
         self.known, self.compressors = {}, None
 
+    def fresh(self) -> Model:
+        """The same model without what it has met: a broadcast one would keep it as long as its worker lives."""
+        model = Model(*self.dictionaries)
+        model.curve = self.curve
+        return model
+
     def _lengths(self, which: int, joined: bytes, segments: bytes) -> np.ndarray:
         if self.compressors is None:
             self.compressors = []
@@ -201,9 +207,9 @@ def _task(docs: DataFrame, model: Model | None, rows_out, schema):
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = shared.value and shared.value.fresh()
         for rows in slices(batches, "text"):
             data, bounds = flat(rows.column("text"))
-            model = shared.value
             scores = np.zeros(len(rows)) if model is None else model.score(Words(LOWER[data], bounds, IS_WORD))
             yield rows_out(rows, scores)
 
