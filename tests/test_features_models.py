@@ -174,7 +174,7 @@ def test_importance_ranks_the_inputs(spark, table):
             "pickup_hour": F.lit("2024-01-01").cast("timestamp"),
         }
     )
-    out = models.importance(models.fit_ols(vectors), keyed, columns, sample=300, repeats=2)
+    out = models.importance(models.fit_ols(vectors), keyed, columns, repeats=2)
     got = {r.feature: r.importance for r in out.collect()}
     assert got["a"] > got["b"] > got["c"] > abs(got["noise"]) and got["noise"] < 0.01
     top = models.top_to_second(out).first()

@@ -282,7 +282,7 @@ def severity_compression(spark, sf_dir):
     )
 
 
-KS = [50, 200, 1000]
+KS = [50, 200, 1000, 5000]
 _RANKS_SQL = f"""
 ranked AS (
   SELECT row_number() OVER (ORDER BY actual DESC, {', '.join(KEY)}) AS ra,

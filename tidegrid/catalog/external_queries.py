@@ -36,18 +36,18 @@ def severity_mix(spark, sf_dir):
     )
 
 
-_ERROR_HOURS = "SELECT DISTINCT date_trunc('hour', ts) AS date_hour FROM events WHERE event_type = 'error'"
+_EVENT_HOURS = "SELECT DISTINCT date_trunc('hour', ts) AS date_hour FROM events"
 
 
 @query(
-    f"""WITH present AS ({_ERROR_HOURS}),
+    f"""WITH present AS ({_EVENT_HOURS}),
 expected AS (SELECT CAST(h AS TIMESTAMP) AS date_hour FROM (
   SELECT unnest(generate_series(min(date_hour), max(date_hour), INTERVAL 1 HOUR)) AS h FROM present))
 SELECT {t.text_sql('date_hour')} FROM expected WHERE date_hour NOT IN (SELECT date_hour FROM present)"""
 )
 def observation_gaps(spark, sf_dir):
-    errors = t.load(spark, sf_dir, "events").where(F.col("event_type") == "error")
-    hourly = externals.last_per_hour(errors.select("ts", "value"), "ts", severity=False)
+    events = t.load(spark, sf_dir, "events")
+    hourly = externals.last_per_hour(events.select("ts", "value"), "ts", severity=False)
     return externals.hour_gaps(hourly).select(t.text("date_hour"))
 
 

@@ -207,11 +207,8 @@ def lasso_retained(spark, sf_dir):
     return models.retained_by_group(spark, columns, weights)
 
 
-BOOSTING_ROUNDS = 10
-
-
 def _fitted(spark, sf_dir, df, names):
-    """Fitted models on the training period; trees with few rounds, all of the rows."""
+    """Fitted models on the training period."""
     train, _ = features.split_train_test(df, t.HOUR_TRAIN_END)
     out, tables = {}, {}
     for name in names:
@@ -220,10 +217,7 @@ def _fitted(spark, sf_dir, df, names):
             columns = features.feature_columns(feature_set, domains(spark, sf_dir))
             table = features.assemble(_table(spark, sf_dir, train, feature_set), columns)
             tables[feature_set] = stage(table.select("features", features.TARGET), f"train-{feature_set}")
-        if name == "gradient_boosting":
-            out[name] = models.fit_boosting(tables[feature_set], maxIter=BOOSTING_ROUNDS)
-        else:
-            out[name] = models.REGISTRY[name].fit(tables[feature_set])
+        out[name] = models.REGISTRY[name].fit(tables[feature_set])
     return out
 
 

@@ -362,9 +362,9 @@ def weather_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def interval_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Purchases as events that last as many minutes as their value."""
+    """Events that last as many minutes as their value."""
     length = F.floor(F.col("value") * 60_000_000 + 0.5).cast("long")
-    return placed_user_events(spark, sf_dir).where(F.col("event_type") == "purchase").select(
+    return placed_user_events(spark, sf_dir).select(
         F.col("c_nationkey").alias("pu_location_id"),
         F.col("ts").alias("start_date_time"),
         F.timestamp_micros(F.unix_micros("ts") + length).alias("end_date_time"),
@@ -452,7 +452,7 @@ INTERVALS_SQL = """
 intervals AS (
   SELECT c_nationkey AS pu_location_id, ts AS start_date_time,
          ts + to_microseconds(CAST(floor(value * 60000000 + 0.5) AS BIGINT)) AS end_date_time
-  FROM events JOIN customer ON user_id = c_custkey WHERE event_type = 'purchase'
+  FROM events JOIN customer ON user_id = c_custkey
 ),
 event_cells AS (
   SELECT pu_location_id, CAST(h AS TIMESTAMP) AS pickup_hour, count(*) AS event_count

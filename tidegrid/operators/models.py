@@ -5,6 +5,7 @@ Targets are log1p counts. Predictions come back as counts, never below zero.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
 
@@ -35,7 +36,6 @@ EVALUATION_CONTEXT = [
     "is_holiday",
     "weather_severity",
 ]
-IMPORTANCE_SAMPLE = 20_000
 IMPORTANCE_REPEATS = 3
 
 
@@ -59,7 +59,7 @@ def fit_ridge(train: DataFrame, alpha: float = RIDGE_ALPHA) -> Model:
 
 def fit_lasso(train: DataFrame, alpha: float) -> Model:
     """Minimises sum(e^2) / 2n + alpha * |w|. No default: the value comes from a search."""
-    return _linear(regParam=alpha, elasticNetParam=1.0, maxIter=1000, tol=1e-9).fit(train)
+    return _linear(regParam=alpha, elasticNetParam=1.0, maxIter=10_000, tol=1e-9).fit(train)
 
 
 def fit_boosting(train: DataFrame, **settings) -> Model:
@@ -137,8 +137,8 @@ def _descend(c: np.ndarray, target: np.ndarray, alpha: float, w: np.ndarray, tol
                 w[j] = new
                 largest = max(largest, abs(step) * np.sqrt(scale[j]))
         if largest < tol:
-            break
-    return w
+            return w
+    raise RuntimeError(f"no convergence in {rounds} rounds at alpha {alpha}: last step {largest}")
 
 
 def lasso_path(
@@ -250,43 +250,44 @@ def importance(
     model: Transformer,
     rows: DataFrame,
     columns: Sequence[str],
-    sample: int = IMPORTANCE_SAMPLE,
     repeats: int = IMPORTANCE_REPEATS,
     seed: int = 42,
 ) -> DataFrame:
     """Permutation importance: mean loss of R2 (log scale) when one input is shuffled.
 
-    The sample size is part of the method. Every (input, repeat) is a variant of the sample in which
-    that input comes from the row holding the variant's shuffled rank; all variants are scored in one
-    job. Only the sample is ever ranked.
+    All rows take part; rows with an unknown input are an error. Rows are ranked by a hash of their key.
+    Every (input, repeat) is a variant of the rows in which that input comes from another rank: ranks go
+    round a circle by a step that has no divisor in common with their number, so each value is used
+    once. All variants are scored in one job.
     """
     order = F.xxhash64(*[F.col(k) for k in ROW_KEY], F.lit(seed))
-    picked = stage(
-        rows.select(order.alias("_order"), F.struct(*ROW_KEY).alias("_key"), *columns, TARGET)
-        .na.drop()
-        .orderBy("_order", "_key")
-        .limit(sample)
-        .withColumn("_rank", F.row_number().over(Window.orderBy("_order", "_key"))),
-        "importance-sample",
-    )
+    known = rows.select(order.alias("_order"), F.struct(*ROW_KEY).alias("_key"), *columns, TARGET)
+    unknown = F.greatest(*[F.col(c).isNull().cast("int") for c in [*columns, TARGET]])
+    n, n_unknown = known.agg(F.count(F.lit(1)), F.sum(unknown)).first()
+    if n_unknown:
+        raise ValueError(f"{n_unknown} of {n} rows have an unknown input")
+    picked = stage(ranked(known, "_order", "_key"), "importance-rows")
     # Variant 0 is the sample as it is; input i is shuffled in the variants (i + 1, repeat).
     variants = [(0, 0)] + [(i, r) for i in range(1, len(columns) + 1) for r in range(repeats)]
     labelled = picked.select(
         "*",
         F.inline(
-            F.array(*[F.struct(F.lit(i).alias("_input"), F.lit(r).alias("_repeat")) for i, r in variants])
+            F.array(*[
+                F.struct(
+                    F.lit(i).alias("_input"), F.lit(r).alias("_repeat"),
+                    F.lit(_step(n, i, r, seed)).cast("decimal(19,0)").alias("_step"),
+                )
+                for i, r in variants
+            ])
         ),
     )
-    shuffled = Window.partitionBy("_input", "_repeat").orderBy(
-        F.xxhash64("_rank", "_input", "_repeat", F.lit(seed)), "_rank"
-    )
+    # Exact for any number of rows: the product has at most 38 digits.
+    donor = F.pmod(F.col("_rank").cast("decimal(19,0)") * F.col("_step"), F.lit(n).cast("decimal(38,0)")).cast("long")
     donors = picked.select(
         F.col("_rank").alias("_donor"),
         F.posexplode(F.array(*[F.col(c).cast("double") for c in columns])).alias("_position", "_value"),
     ).select("_donor", (F.col("_position") + 1).alias("_input"), "_value")
-    mixed = labelled.withColumn("_donor", F.row_number().over(shuffled)).join(
-        donors, ["_donor", "_input"], "left"
-    )
+    mixed = labelled.withColumn("_donor", donor).join(donors, ["_donor", "_input"], "left")
     replaced = mixed.withColumns(
         {
             c: F.when(F.col("_input") == i, F.col("_value")).otherwise(F.col(c).cast("double"))
@@ -310,6 +311,28 @@ def importance(
     )
 
 
+def ranked(df: DataFrame, *order: str) -> DataFrame:
+    """``df`` with ``_rank``, its place from 0 in the order; no task sees more than its own range of rows."""
+    placed = stage(
+        df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_part", F.spark_partition_id()), "ranges"
+    )
+    # One row per range, so this window is small whatever the rows.
+    before = placed.groupBy("_part").count().withColumn(
+        "_before", F.sum("count").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1))
+    ).select("_part", F.coalesce("_before", F.lit(0)).alias("_before"))
+    inner = F.row_number().over(Window.partitionBy("_part").orderBy(*order)) - 1
+    return placed.join(F.broadcast(before), "_part").withColumn("_rank", inner + F.col("_before")).drop("_part", "_before")
+
+
+def _step(n: int, number: int, repeat: int, seed: int) -> int:
+    """A step round ``n`` ranks for one variant: far from 0 and n, and without a divisor of n."""
+    share = (0.618033988749895 * (1 + number + 101 * repeat + seed)) % 0.8 + 0.1
+    step = max(1, int(n * share))
+    while math.gcd(step, n) != 1:
+        step += 1
+    return step
+
+
 def _keep_metadata(df: DataFrame, like: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Category metadata survives a rewrite of the values."""
     meta = {c: like.schema[c].metadata for c in columns if like.schema[c].metadata}

@@ -24,12 +24,12 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType, **options: st
 def weather_types(raw: DataFrame) -> DataFrame:
     """Text readings to numbers: ``M``/blank/any other text is NULL, rain ``T`` is a trace."""
     readings = {
-        c: F.expr(f"try_cast(nullif(nullif(trim({c}), ''), 'M') as double)")
+        c: F.nanvl(F.expr(f"try_cast(nullif(nullif(trim({c}), ''), 'M') as double)"), F.lit(None).cast("double"))
         for c in S.WEATHER_READINGS
         if c != "p01i"
     }
     rain = F.when(F.trim("p01i") == "T", F.lit(TRACE_PRECIPITATION)).otherwise(
-        F.expr("try_cast(trim(p01i) as double)")
+        F.nanvl(F.expr("try_cast(trim(p01i) as double)"), F.lit(None).cast("double"))
     )
     texts = {c: F.expr(f"nullif(nullif(trim({c}), ''), 'M')") for c in ("skyc1", "wxcodes")}
     return raw.withColumns(
