@@ -34,6 +34,18 @@ SAMPLES = 64
 _ROWS = 2_048
 LONG = 100_000
 _GROUP_BYTES = 1 << 20
+_BYTES = mixed(np.arange(1, 257, dtype=np.uint64))
+
+
+def _hashed(words: pa.Array) -> np.ndarray:
+    """A 64-bit hash of each word: a polynomial of numbers that stand for its bytes."""
+    data, bounds = flat(words)
+    if not len(data):
+        return np.zeros(0, np.uint64)
+    sizes = np.diff(bounds)
+    powers = np.cumprod(np.full(sizes.max(), 0x9E3779B97F4A7C15, np.uint64))
+    within = np.arange(len(data)) - np.repeat(bounds[:-1], sizes)
+    return mixed(np.add.reduceat(_BYTES[data] * powers[within], bounds[:-1]))
 
 
 def _terms(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -41,7 +53,7 @@ def _terms(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     data, bounds = flat(pa.array(texts, pa.string()))
     words = Words(LOWER[data], bounds, IS_WORD)
     codes, distinct = words.coded()
-    hashes = np.fromiter((xxhash.xxh64_intdigest(w) for w in distinct.to_pylist()), np.uint64, len(distinct))[codes]
+    hashes = _hashed(distinct)[codes]
     per_doc = np.diff(words.docs)
     doc = np.repeat(np.arange(len(texts)), per_doc)
     pairs = np.flatnonzero(doc[1:] == doc[:-1]) if len(doc) else np.zeros(0, np.int64)
@@ -50,12 +62,13 @@ def _terms(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     doc = np.concatenate([doc[pairs], single, np.array(signs, np.int64)])
     other = np.fromiter((xxhash.xxh64_intdigest(texts[i].encode()) for i in signs), np.uint64, len(signs))
     term = mixed(np.concatenate([mixed(hashes[pairs]) * np.uint64(3) + hashes[pairs + 1] if len(pairs) else np.zeros(0, np.uint64), hashes[words.docs[single]], other]))
-    order = np.lexsort((term, doc))
-    doc, term = doc[order], term[order]
-    first = np.ones(len(doc), bool)
-    first[1:] = (doc[1:] != doc[:-1]) | (term[1:] != term[:-1])
-    at = np.flatnonzero(first)
-    return doc[at], term[at], np.diff(np.append(at, len(doc)))
+    if len(single) or signs:
+        order = np.argsort(doc, kind="stable")
+        doc, term = doc[order], term[order]
+    # Exact keys: a number for each distinct term, and one for each pair of a text and a term; texts stay in order.
+    numbers, terms = pd.factorize(term)
+    codes, pairs = pd.factorize(doc * max(len(terms), 1) + numbers)
+    return pairs // max(len(terms), 1), terms[pairs % max(len(terms), 1)], np.bincount(codes, minlength=len(pairs))
 
 
 def _drawn(term: np.ndarray, weight: np.ndarray, samples: int) -> np.ndarray:
@@ -67,21 +80,36 @@ def _drawn(term: np.ndarray, weight: np.ndarray, samples: int) -> np.ndarray:
     x ^= x >> np.uint64(32)
     y = x * np.uint64(0x94D049BB133111EB)
     y ^= y >> np.uint64(30)
-    low, middle, half, scale = np.uint64(0xFFFFFF), np.uint64(24), np.float32(0.5), np.float32(2.0**-24)
+    low, middle, half, scale = np.uint64(0xFFFFFF), np.uint64(24), np.float32(0.5), np.float32(2.0**-48)
 
     def log_of_two(bits: np.ndarray) -> np.ndarray:
-        one = ((bits & low).astype(np.float32) + half) * scale
-        return np.log(one * (((bits >> middle & low).astype(np.float32) + half) * scale))
-
-    r = -log_of_two(x)
-    value = np.log(-log_of_two(y)) - r
-    b = (x >> np.uint64(48)).astype(np.float32) * np.float32(2.0**-16)
-    t = np.floor(np.log(weight.astype(np.float32))[:, None] / r + b)
-    value -= r * (t - b)
-    order = value.astype(np.float32).view(np.int32)
-    order = (order ^ (order >> 31 & 0x7FFFFFFF)).astype(np.int64) << 16
-    sample = ((term & np.uint64(0xFFFF)).astype(np.int64)[:, None] + t.astype(np.int64) * 40_503) & 0xFFFF
-    return order | np.maximum(sample, 1)
+        one = (bits & low).astype(np.int32).astype(np.float32)
+        one += half
+        other = (bits >> middle & low).astype(np.int32).astype(np.float32)
+        other += half
+        one *= other
+        one *= scale
+        return np.log(one, out=one)
+
+    minus_r, value = log_of_two(x), log_of_two(y)
+    np.negative(value, out=value)
+    np.log(value, out=value)
+    value += minus_r
+    b = (x >> np.uint64(48)).astype(np.int32).astype(np.float32)
+    b *= np.float32(2.0**-16)
+    sample = np.repeat((term & np.uint64(0xFFFF)).astype(np.int64)[:, None], samples, axis=1)
+    # A weight of one has the logarithm zero, so its step is zero.
+    some = np.flatnonzero(weight > 1)
+    t = np.floor(b[some] - np.log(weight[some].astype(np.float32))[:, None] / minus_r[some])
+    b[some] -= t
+    sample[some] = sample[some] + t.astype(np.int64) * 40_503 & 0xFFFF
+    b *= minus_r
+    value -= b
+    order = value.view(np.int32)
+    order = (order ^ (order >> 31 & 0x7FFFFFFF)).astype(np.int64)
+    order <<= 16
+    order |= np.maximum(sample, 1, out=sample)
+    return order
 
 
 def signatures(texts: list[str], samples: int = SAMPLES) -> np.ndarray:
@@ -94,7 +122,8 @@ def signatures(texts: list[str], samples: int = SAMPLES) -> np.ndarray:
     ends = np.append(starts[1:], len(doc))
     usual = np.repeat(ends - starts <= LONG, ends - starts)
     # Texts share most of their terms with their edited form; each is drawn once.
-    keys, which = np.unique(term[usual] ^ mixed(weight[usual].astype(np.uint64)), return_inverse=True)
+    numbers, terms = pd.factorize(term[usual])
+    which, keys = pd.factorize(weight[usual] * len(terms) + numbers)
     at = np.empty(len(keys), np.int64)
     at[which] = np.flatnonzero(usual)
     table = np.empty((len(at), samples), np.int64)
