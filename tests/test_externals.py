@@ -1,4 +1,5 @@
 import random
+from datetime import timedelta
 
 import pytest
 from helpers import rows, ts
@@ -69,12 +70,6 @@ def test_last_report_of_the_hour_and_gaps(spark):
     assert report[("missing", "gust")] == 2 and report[("severity", "normal")] == 2
 
 
-def test_weather_join_keeps_unmatched_hours(spark):
-    hours = spark.createDataFrame([(1, ts("2024-01-01 05:00:00")), (1, ts("2024-01-02 05:00:00"))], "pu_location_id int, pickup_hour timestamp")
-    weather = externals.clean_weather(reports(spark)).withColumnRenamed("date_hour", "pickup_hour")
-    assert [r[0] for r in externals.join_weather(hours, weather).orderBy("pickup_hour").select("tmpf").collect()] == [41.0, None]
-
-
 def test_interval_cells_include_both_ends(spark):
     events = spark.createDataFrame(
         [(4, ts("2024-01-01 00:10:00"), ts("2024-01-01 02:00:00")), (4, ts("2024-01-01 01:05:00"), ts("2024-01-01 01:05:00")),
@@ -83,9 +78,40 @@ def test_interval_cells_include_both_ends(spark):
     )
     got = rows(externals.interval_cells(events), "pickup_hour")
     assert got == [(4, ts(f"2024-01-01 0{h}:00:00"), n) for h, n in ((0, 1), (1, 2), (2, 1))]
-    hours = spark.createDataFrame([(4, ts("2024-01-01 01:00:00")), (5, ts("2024-01-01 01:00:00"))], "pu_location_id int, pickup_hour timestamp")
-    joined = externals.join_events(hours, externals.interval_cells(events))
-    assert rows(joined.select("pu_location_id", "event_count", "event_present"), "pu_location_id") == [(4, 2, True), (5, 0, False)]
+
+
+def test_interval_cells_equal_unfolded_events(spark):
+    events = spark.range(400).select(
+        F.when(F.col("id") % 3 > 0, F.lit(1)).otherwise(F.col("id") % 7).cast("int").alias("pu_location_id"),
+        F.timestamp_seconds(1_704_067_200 + (F.col("id") * 7_919) % 500_000).alias("start_date_time"),
+        F.timestamp_seconds(1_704_067_200 + (F.col("id") * 7_919) % 500_000 + (F.col("id") * 104_729) % 90_000 - 5_000).alias("end_date_time"),
+    ).withColumn("pu_location_id", F.nullif("pu_location_id", F.lit(5)))
+    for unit in ("hour", "day"):
+        brute = {}
+        step = timedelta(**{f"{unit}s": 1})
+        for place, a, b in events.collect():
+            at, end = (x.replace(minute=0, second=0, **({"hour": 0} if unit == "day" else {})) for x in (a, b))
+            while at <= end:
+                brute[place, at] = brute.get((place, at), 0) + 1
+                at += step
+        got = externals.interval_cells(events, unit).collect()
+        assert {(r.pu_location_id, r.pickup_hour): r.event_count for r in got} == brute and len(got) == len(brute)
+
+
+def test_enrich_keeps_every_cell_with_defaults_and_flags(spark):
+    grid = spark.createDataFrame(
+        [(4, ts("2024-01-01 05:00:00")), (4, ts("2024-01-01 01:00:00")), (5, ts("2024-01-01 01:00:00")), (5, ts("2024-01-02 05:00:00"))],
+        "pu_location_id int, pickup_hour timestamp",
+    )
+    weather = externals.clean_weather(reports(spark)).withColumnRenamed("date_hour", "pickup_hour")
+    cells = spark.createDataFrame([(4, ts("2024-01-01 01:00:00"), 2)], "pu_location_id int, pickup_hour timestamp, event_count long")
+    days = spark.createDataFrame([(ts("2024-01-01 00:00:00"), "New Year")], "date timestamp, holiday_name string")
+    out = externals.enrich(grid, weather, cells, days)
+    got = rows(out.select("pu_location_id", "pickup_hour", "tmpf", "event_count", "event_present", "holiday_name", "is_holiday"), "pu_location_id", "pickup_hour")
+    assert got == [
+        (4, ts("2024-01-01 01:00:00"), None, 2, True, "New Year", True), (4, ts("2024-01-01 05:00:00"), 41.0, 0, False, "New Year", True),
+        (5, ts("2024-01-01 01:00:00"), None, 0, False, "New Year", True), (5, ts("2024-01-02 05:00:00"), None, 0, False, None, False),
+    ]
 
 
 def test_event_cleaning(spark):
@@ -109,9 +135,11 @@ def test_holidays(spark):
     raw = spark.createDataFrame([("1/20/25", "B day"), ("1/20/25", "A day"), ("12/25/25", "Christmas")], "Date string, Holiday string").coalesce(1)
     days = externals.holiday_days(raw)
     assert rows(days, "date") == [(ts("2025-01-20"), "B day; A day"), (ts("2025-12-25"), "Christmas")]
-    hours = spark.createDataFrame([(1, ts("2025-01-20 00:00:00")), (1, ts("2025-01-20 23:00:00")), (1, ts("2025-01-21 00:00:00"))], "pu_location_id int, pickup_hour timestamp")
-    got = rows(externals.join_holidays(hours, days).select("pickup_hour", "is_holiday"), "pickup_hour")
-    assert [g[1] for g in got] == [True, True, False]
+    weather = spark.createDataFrame([(ts("2025-01-20 23:00:00"), 1.0), (ts("2025-01-21 00:00:00"), 2.0)], "pickup_hour timestamp, tmpf double")
+    hours = rows(externals.city_hours(weather, days).where("pickup_hour < '2025-02-01'"), "pickup_hour")
+    assert len(hours) == 25
+    assert hours[0] == (ts("2025-01-20 00:00:00"), None, "B day; A day")
+    assert hours[-2:] == [(ts("2025-01-20 23:00:00"), 1.0, "B day; A day"), (ts("2025-01-21 00:00:00"), 2.0, None)]
 
 
 @pytest.mark.parametrize(

@@ -1,7 +1,9 @@
 import numpy as np
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from tidegrid.operators import percentiles
 from tidegrid.operators.percentiles import bounded_percentiles, exact_percentiles
 
 PROBS = [0.0, 0.01, 0.25, 0.5, 0.75, 0.95, 0.999, 1.0]
@@ -39,3 +41,18 @@ def test_bounded_form_agrees(spark):
     assert a.keys() == b.keys()
     for g in a:
         assert np.allclose(a[g].percentiles, b[g].percentiles, rtol=1e-12)
+
+
+def test_ranks_of_a_hot_group_are_dealt_over_ranges(spark):
+    counted = spark.range(40_000).select(
+        F.lit("hot").alias("g"), F.lit(40_000).alias("n_obs"), F.hash("id").cast("double").alias("_at"), F.lit(False).alias("_between"), F.lit(1).cast("long").alias("_n"),
+    )
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        ranked = percentiles._running(counted, ["g"])
+        sizes = [r["count"] for r in ranked.groupBy("_range").count().collect()]
+        wrong = ranked.withColumn("_rank", F.row_number().over(Window.orderBy("_at"))).where("_rank <> _to").count()
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert len(sizes) == 4 and max(sizes) < 20_000 and sum(sizes) == 40_000
+    assert wrong == 0

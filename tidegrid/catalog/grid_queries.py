@@ -137,9 +137,12 @@ SELECT pu_location_id, {t.rnd_sql('avg(demand - rolling)')} AS rolling_deviation
 FROM cells2 GROUP BY 1"""
 )
 def baseline_deviation_by_zone(spark, sf_dir):
-    rolling = t.day_rolling(spark, sf_dir).withColumnRenamed("baseline_pickup_count", "rolling_baseline")
+    grid, groups = slot_columns(t.day_grid(spark, sf_dir)), t.groups(spark, sf_dir)
+    levels = baseline.slot_levels(grid, groups, t.DAY_TRAIN_END)
+    rolling = baseline.add_rolling_baseline(grid, groups, t.DAY_TRAIN_END, levels=levels)
     both = baseline.add_static_baseline(
-        rolling.drop("baseline_source"), t.groups(spark, sf_dir), t.DAY_TRAIN_END
+        rolling.withColumnRenamed("baseline_pickup_count", "rolling_baseline").drop("baseline_source"),
+        groups, t.DAY_TRAIN_END, levels=levels,
     )
     out = baseline.deviation_by_place(
         both, {"rolling": "rolling_baseline", "static": "baseline_pickup_count"}

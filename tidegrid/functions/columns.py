@@ -72,10 +72,10 @@ def location_key(text: Column) -> Column:
 
 def simpler_key(key: Column) -> Column:
     """Shorter spelling to look up when a key was not found; NULL when there is none."""
-    text = F.regexp_replace(key, r"\s*\([^)]*\)", "")
-    text = _strip(F.substring_index(text, "/", 1))
-    text = F.regexp_replace(text, r"(?i)\s+and\s+\w+$", "")
-    text = _strip(F.regexp_replace(text, r"(?i)\s+(West|East|North|South)$", ""))
+    # What goes, in this order.
+    parentheses, second_name, side = r"\s*\([^)]*\)", r"(?i)\s+and\s+\w+$", r"(?i)\s+(West|East|North|South)$"
+    text = _strip(F.substring_index(F.regexp_replace(key, parentheses, ""), "/", 1))
+    text = _strip(F.regexp_replace(F.regexp_replace(text, second_name, ""), side, ""))
     return F.when((text != "") & (text != key), text)
 
 

@@ -351,6 +351,7 @@ def top_to_second(importances: DataFrame) -> DataFrame:
 
 def feature_groups(columns: Sequence[str]) -> dict[str, str]:
     """Which group of inputs a column belongs to."""
+    # Labels of the groups.
     prefixes = {
         "hour_of_day_": "Hour of day",
         "day_of_week_": "Day of week",

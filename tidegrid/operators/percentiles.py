@@ -9,8 +9,10 @@ for groups with a known ceiling. Without one, two passes over the column do the
 
 A value makes one row of the second pass, and the ranked part holds about ``8 / accuracy`` of a group
 per percentile (all of it, up to ``accuracy`` rows). Both passes combine on the map side, so a group
-with a third of all rows is spread over as many tasks as the scan has. A rank that falls between the
-brackets is an error, never a wrong number.
+with a third of all rows is spread over as many tasks as the scan has. The ranked part is a fixed
+share of a group and thus as unbounded as the group: it is dealt by ranges of values, each range is
+counted, and a running count within a range starts at the sum of the ranges before it. A rank that
+falls between the brackets is an error, never a wrong number.
 """
 
 from __future__ import annotations
@@ -56,8 +58,7 @@ def exact_percentiles(
         .groupBy(*keys, "n_obs", "_at", "_between")
         .agg(F.count(F.lit(1)).alias("_n"))
     )
-    order = Window.partitionBy(*keys).orderBy(F.col("_at").asc_nulls_first(), "_between")
-    ranked = counted.withColumn("_to", F.sum("_n").over(order))
+    ranked = _running(counted, keys)
 
     def at(rank: Column) -> Column:
         here = (rank >= F.col("_to") - F.col("_n")) & (rank < F.col("_to")) & ~F.col("_between")
@@ -76,6 +77,25 @@ def exact_percentiles(
     return picked.select(*by, "n_obs", F.array(*values).alias("percentiles"))
 
 
+def _running(counted: DataFrame, keys: list[str]) -> DataFrame:
+    """``counted`` with ``_to``: the sum of ``_n`` up to and with each row of its group, by value.
+
+    Rows are dealt by range and stored with the number of their range, so that later reads agree on
+    the ranges; only one row per group and range goes through a window by group.
+    """
+    in_order = [F.col("_at").asc_nulls_first(), F.col("_between")]
+    dealt = stage(
+        counted.repartitionByRange(*keys, *in_order).withColumn("_range", F.spark_partition_id()), "percentile-ranges"
+    )
+    sums = dealt.groupBy(*keys, "_range").agg(F.sum("_n").alias("_all_n"))
+    by_group = Window.partitionBy(*keys).orderBy("_range")
+    before = (F.sum("_all_n").over(by_group) - F.col("_all_n")).alias("_start")
+    starts = sums.select(*[F.col(k).alias(f"_of{i}") for i, k in enumerate([*keys, "_range"])], before)
+    within = Window.partitionBy(*keys, "_range").orderBy(*in_order)
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_of{i}")) for i, k in enumerate([*keys, "_range"])])
+    return dealt.join(starts, same).select(*dealt.columns, (F.col("_start") + F.sum("_n").over(within)).alias("_to"))
+
+
 def _brackets(base: DataFrame, keys: list[str], probabilities: list[float], accuracy: int) -> DataFrame:
     """One row per group: its size and the bracket of every percentile."""
     slack = 4.0 / accuracy

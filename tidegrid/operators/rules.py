@@ -151,6 +151,7 @@ def landing_checks(
     low, high = S.PLACE_RANGE
     money = ["fare_amount", "extra", "mta_tax", "tip_amount", "tolls_amount",
              "improvement_surcharge", "total_amount", "congestion_surcharge", "Airport_fee"]
+    # The conditions and their bounds.
     return {
         "vendor code": ~c("VendorID").isin(*S.VENDOR_CODES["yellow"]),
         "rate code": ~c("RatecodeID").isin(*S.RATECODE_CODES),
