@@ -42,9 +42,10 @@ def city_thresholds(
 ) -> DataFrame:
     """One row: ``p_low``, ``p_high`` and ``n_obs`` of the reliable training ratios.
 
-    The whole training period is one group, so this uses the distributed percentile.
+    The whole training period is one group, so this uses the distributed percentile. Ratios are
+    stored: it reads them twice.
     """
-    ratios = with_ratio(reliable(train, min_baseline))
+    ratios = stage(with_ratio(reliable(train, min_baseline)).select("dtdi"), "ratios")
     out = exact_percentiles(ratios, "dtdi", percentiles)
     return out.select(
         F.col("percentiles")[0].alias("p_low"), F.col("percentiles")[1].alias("p_high"), "n_obs"
@@ -210,8 +211,8 @@ def by_severity(
     severity: str = "weather_severity",
     accuracy: int | None = None,
 ) -> DataFrame:
-    """Mean, median and count of the ratio per weather class."""
-    rows = df.where(F.col(severity).isNotNull())
+    """Mean, median and count of the ratio per weather class; the two columns are stored, for three reads."""
+    rows = stage(df.where(F.col(severity).isNotNull()).select(severity, ratio), "severity-ratios")
     means = rows.groupBy(severity).agg(
         F.avg(ratio).alias("mean_dtdi"), F.count(ratio).alias("n_obs")
     )

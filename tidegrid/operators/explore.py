@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import celsius, event_count_bin, range_bins
+from ..session import stage
 from .percentiles import exact_percentiles
 
 # --- fixed values: bins and day classes ------------------------------------------------------------
@@ -22,8 +23,8 @@ def all_kinds(df: DataFrame, extra: list[str] | None = None) -> DataFrame:
 
 
 def demand_distribution(df: DataFrame) -> DataFrame:
-    """Median, zero share, mean, P99 and maximum of demand per (place, hour)."""
-    cells = all_kinds(df)
+    """Median, zero share, mean, P99 and maximum of demand per (place, hour); sums are stored, for three reads."""
+    cells = stage(all_kinds(df).select("pickup_count"), "demand")
     shape = cells.agg(
         (100.0 * F.count_if(F.col("pickup_count") == 0) / F.count(F.lit(1))).alias("pct_zero"),
         F.avg("pickup_count").alias("mean"),
