@@ -90,7 +90,7 @@ def test_stage_removes_copies_that_differ_by_more_than_four_bits(spark):
     rng = random.Random(5)
     base = words(rng, 200)
     rows = [(i, edited(rng, base, 3 * (i > 0)), "s") for i in range(12)]
-    docs = spark.createDataFrame(rows, SCHEMA)
+    docs = spark.createDataFrame(rows, SCHEMA).selectExpr("*", "cast(length(text) AS long) AS n_chars")
     groups = brute([row[:2] for row in rows])
     assert simhash.keep_one(docs).count() > len(groups)
     assert corpus_pipeline.near_duplicates(spark, docs, "").count() == len(groups)

@@ -15,6 +15,8 @@ repeat an id are treated alike; an empty table gives an empty result; other colu
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -24,16 +26,23 @@ SITES = 10
 SKETCH = 12
 # Share of the threshold on both sides in which counts are made exact; the sketch's standard error is 1.6 %.
 BAND = 0.1
+# Lines of more words are passages, for ``strip_passages``.
+PASSAGE_WORDS = 50
 
 
-def _hash(line: Column) -> Column:
+def _hash(line: Column, over: int = 0) -> Column:
+    """Hash of a line that is not blank and, with ``over``, has more words than that."""
     key = F.trim(line)
-    return F.when(key != "", F.struct(F.xxhash64(key).alias("x"), F.hash(key).alias("m")))
+    wanted = key != ""
+    if over:
+        wanted &= F.size(F.split(F.regexp_replace(key, r"^\s+|\s+$", ""), r"\s+")) > over
+    return F.when(wanted, F.struct(F.xxhash64(key).alias("x"), F.hash(key).alias("m")))
 
 
-def _row_key() -> list[Column]:
-    """What names a row: its id, or its text's hash if it has none."""
-    return [F.col("doc_id").alias("key_id"), F.when(F.col("doc_id").isNull(), F.xxhash64("text")).alias("key_text")]
+def _row_key(whole: bool = False) -> list[Column]:
+    """What names a row: its id, or its text's hash if it has none; both if ``whole``."""
+    text = F.xxhash64("text")
+    return [F.col("doc_id").alias("key_id"), (text if whole else F.when(F.col("doc_id").isNull(), text)).alias("key_text")]
 
 
 def boilerplate(lines: DataFrame, sites: int = SITES, sketch: int = SKETCH, band: float = BAND) -> DataFrame:
@@ -55,21 +64,46 @@ def boilerplate(lines: DataFrame, sites: int = SITES, sketch: int = SKETCH, band
 
 def strip(docs: DataFrame, sites: int = SITES, site: str = "source", counts: bool = False) -> DataFrame:
     """``docs`` without boilerplate lines in ``text``; ``counts`` adds n_lines and n_removed."""
-    names = docs.columns
     parted = docs.select(*_row_key(), "doc_id", F.col(site).cast("string").alias("site"), F.explode(F.split("text", "\n", -1)).alias("line"))
     lines = parted.select("key_id", "key_text", "doc_id", "site", _hash(F.col("line")).alias("line")).where("line IS NOT NULL")
     common = stage(boilerplate(lines, sites), "boilerplate")
+    return _without(docs, lines, common, F.coalesce(F.col("key_id") == F.col("first"), F.lit(False)), _row_key(), _hash, counts)
+
+
+def strip_passages(docs: DataFrame, words: int = PASSAGE_WORDS) -> DataFrame:
+    """``docs`` without repeated lines of over ``words`` words: such a line stays in the first of the rows that have it.
+
+    It is enough that two rows have the line, on whatever sites. The first row is that of the smallest id, of equal ids
+    that of the smallest text hash; rows without id come last. Only whole lines count.
+    """
+    key = _row_key(whole=True)
+
+    def long_line(line: Column) -> Column:
+        return _hash(line, words)
+
+    parted = docs.select(*key, F.explode(F.split("text", "\n", -1)).alias("line"))
+    lines = parted.select("key_id", "key_text", long_line(F.col("line")).alias("line")).where("line IS NOT NULL")
+    place = F.struct(F.col("key_id").isNull().alias("no_id"), "key_id", "key_text")
+    common = lines.groupBy("line").agg(F.min(place).alias("first"), F.max(place).alias("last")).where("NOT first <=> last").select("line", "first")
+    return _without(docs, lines, stage(common, "passages"), place.eqNullSafe(F.col("first")), key, long_line, False)
+
+
+def _without(
+    docs: DataFrame, lines: DataFrame, common: DataFrame, is_first: Column, row_key: list[Column], hash_of: Callable[[Column], Column], counts: bool
+) -> DataFrame:
+    """``docs`` without the lines in ``common``, but for their first place in the rows where ``is_first`` holds."""
+    names = docs.columns
     # A document loses each line once or wholly; what it has of them is at most its own lines.
-    kept = F.coalesce(F.col("key_id") == F.col("first"), F.lit(False)).alias("kept")
+    kept = is_first.alias("kept")
     own = (
         lines.select("key_id", "key_text", "line").join(common, "line").select("key_id", "key_text", F.struct("line", kept).alias("line"))
         .groupBy("key_id", "key_text").agg(F.collect_set("line").alias("lost"))
     )
     row = F.struct(*(F.col(f"`{name}`") for name in names)).alias("row")
-    joined = docs.select(*_row_key(), row).alias("d").join(
+    joined = docs.select(*row_key, row).alias("d").join(
         own.alias("o"), F.col("d.key_id").eqNullSafe(F.col("o.key_id")) & F.col("d.key_text").eqNullSafe(F.col("o.key_text")), "left"
     ).select("row", "lost", F.split("row.text", "\n", -1).alias("lines"))
-    hashed = joined.withColumn("hashes", F.when(F.col("lost").isNotNull(), F.transform("lines", _hash)))
+    hashed = joined.withColumn("hashes", F.when(F.col("lost").isNotNull(), F.transform("lines", lambda line: hash_of(line))))
     gone = F.transform(F.filter("lost", lambda x: ~x["kept"]), lambda x: x["line"])
     once = F.transform(F.filter("lost", lambda x: x["kept"]), lambda x: x["line"])
     sorted_out = hashed.withColumn("gone", gone).withColumn("once", once)
