@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import byte_bpe, decontaminate, language_id, line_dedup, simhash, toxicity, url_filter, warc, wavelet, weighted_sampling
+from . import byte_bpe, decontaminate, language_id, line_dedup, piece_bpe, simhash, toxicity, url_filter, warc, wavelet, weighted_sampling
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 TWINS: dict[str, str] = {}
@@ -133,3 +133,9 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.digests(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query()
+def op11_piece_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = byte_bpe.read_ranks(byte_bpe.tokenizer_file(spark, "piece_bpe_32k.model"))
+    return piece_bpe.digests(table(spark, sf_dir, "documents"), model)
