@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import byte_bpe, decontaminate, language_id, line_dedup, piece_bpe, simhash, toxicity, url_filter, warc, wavelet, weighted_sampling
+from . import alignment, byte_bpe, decontaminate, language_id, line_dedup, piece_bpe, simhash, toxicity, url_filter, warc, wavelet, weighted_sampling
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 TWINS: dict[str, str] = {}
@@ -139,3 +139,10 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op11_piece_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = byte_bpe.read_ranks(byte_bpe.tokenizer_file(spark, "piece_bpe_32k.model"))
     return piece_bpe.digests(table(spark, sf_dir, "documents"), model)
+
+
+@query()
+def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    definition = byte_bpe.read_ranks(byte_bpe.tokenizer_file(spark, "byte_bpe_50k.json")).decode()
+    model = byte_bpe.read_ranks(byte_bpe.tokenizer_file(spark, "piece_bpe_32k.model"))
+    return alignment.digests(table(spark, sf_dir, "documents"), definition, model)
