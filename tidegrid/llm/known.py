@@ -8,9 +8,10 @@ import numpy as np
 
 from .arrays import binary_array, gathered
 
-# A worker forgets its pieces beyond so many, or so many bytes of pieces and values; a piece met again is worked out again.
-PIECES = 500_000
-BYTES = 64 << 20
+# A worker keeps two generations of pieces, each of so many or so many bytes of pieces and values. When the young one is
+# full it becomes the old one, and what was in neither again is forgotten; a piece met again is worked out again.
+PIECES = 300_000
+BYTES = 32 << 20
 
 
 class Known:
@@ -18,22 +19,27 @@ class Known:
 
     def __init__(self, work: Callable[[list[bytes]], list[bytes]], pieces: int = PIECES, size: int = BYTES):
         self.work, self.pieces, self.size = work, pieces, size
-        self.values: dict[bytes, bytes] = {}
+        self.young: dict[bytes, bytes] = {}
+        self.old: dict[bytes, bytes] = {}
         self.held = 0
 
     def look_up(self, data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, list[bytes], list[bytes]]:
         """Number of the piece at each start, the distinct pieces, and their values."""
         coded = binary_array(data, np.append(starts, len(data))).dictionary_encode()
         pieces = coded.dictionary.to_pylist()
-        new = [p for p in pieces if p not in self.values]
-        if new and (len(self.values) + len(new) > self.pieces or self.held > self.size):
-            self.values, self.held, new = {}, 0, pieces
-        for at in range(0, len(new), 20_000):
-            part = new[at : at + 20_000]
-            found = self.work(part)
-            self.values.update(zip(part, found))
-            self.held += sum(map(len, part)) + sum(map(len, found))
-        return coded.indices.to_numpy(zero_copy_only=False), pieces, [self.values[p] for p in pieces]
+        values = list(map(self.young.get, pieces))
+        missing = [i for i, value in enumerate(values) if value is None]
+        for i in missing:
+            values[i] = self.old.get(pieces[i])
+        new = [i for i in missing if values[i] is None]
+        for i, value in zip(new, self.work([pieces[i] for i in new]) if new else ()):
+            values[i] = value
+        for i in missing:
+            self.young[pieces[i]] = values[i]
+            self.held += len(pieces[i]) + len(values[i])
+        if len(self.young) > self.pieces or self.held > self.size:
+            self.young, self.old, self.held = {}, self.young, 0
+        return coded.indices.to_numpy(zero_copy_only=False), pieces, values
 
     def numbers(self, data: np.ndarray, starts: np.ndarray, kind: str = "<u4") -> tuple[np.ndarray, np.ndarray]:
         """Values read as numbers, joined in the order of the pieces, and how many each piece has."""

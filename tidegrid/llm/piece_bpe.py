@@ -101,13 +101,12 @@ class Pieces:
         return self.ids.get(char, self.first_sign + ord(char))
 
     def compatible(self, left: int, right: int) -> bool:
-        known = self.pairs.get((left, right))
-        if known is None:
-            if len(self.pairs) >= PAIRS:
-                self.pairs.clear()
-            a, b = self.text(left), self.text(right)
-            known = self.pairs[left, right] = self.merge([*a, *b]) == [a, b]
-        return known
+        """Whether merging both together gives both back; the answer is kept."""
+        if len(self.pairs) >= PAIRS:
+            self.pairs.clear()
+        a, b = self.text(left), self.text(right)
+        found = self.pairs[left, right] = self.merge([*a, *b]) == [a, b]
+        return found
 
     def _shorter(self, token: int) -> int:
         """The next shorter piece at the start of this one, or -1."""
@@ -127,18 +126,22 @@ class Pieces:
 
     def encode(self, text: str) -> list[int]:
         """Ids of a text whose blanks have been replaced."""
-        longest = self.longest(text)
+        longest, known = self.longest(text), self.pairs.get
         failed = bytearray((len(text) >> 3) + 1)
         out: list[tuple[int, int]] = []
-        at, end = 0, len(text)
+        at, end, last = 0, len(text), -1
         token = longest[0] if longest else None
         while at < end:
             to = at + token[1]
-            if not failed[to >> 3] >> (to & 7) & 1 and (not out or self.compatible(out[-1][0], token[0])):
-                out.append(token)
-                at = to
-                token = longest[at] if at < end else None
-                continue
+            if not failed[to >> 3] >> (to & 7) & 1:
+                fits = last < 0 or known((last, token[0]))
+                if fits is None:
+                    fits = self.compatible(last, token[0])
+                if fits:
+                    out.append(token)
+                    at, last = to, token[0]
+                    token = longest[at] if at < end else None
+                    continue
             shorter = self.shorter(token[0])
             if shorter >= 0:
                 token = (shorter, len(self.text(shorter)))
@@ -146,9 +149,13 @@ class Pieces:
                 failed[at >> 3] |= 1 << (at & 7)
                 token = out.pop()
                 at -= token[1]
+                last = out[-1][0] if out else -1
         ids = []
         for token, _ in out:
-            ids += [token] if token < self.first_sign else [self.bytes[b] for b in self.text(token).encode()]
+            if token < self.first_sign:
+                ids.append(token)
+            else:
+                ids += [self.bytes[b] for b in self.text(token).encode()]
         return ids
 
     def words(self, words: list[bytes]) -> list[bytes]:
