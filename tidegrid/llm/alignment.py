@@ -41,7 +41,9 @@ from .arrays import flat, gathered
 from .byte_bpe import _packed, _unpacked
 from .known import Known, cuts, with_space
 
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 2 << 20
+# Pieces that go to the libraries at once; what they return is large.
+CALL = 2_000
 _PARTS = ("codes", "docs", "n_a", "n_b", "n_groups", "a", "b", "a_cuts", "b_cuts")
 _BLOCK = "block long, doc_ids array<long>, " + ", ".join(f"{name} binary" for name in _PARTS)
 
@@ -94,6 +96,9 @@ class Both:
         self.cut = not any(k == piece_bpe.NORMAL and piece_bpe.BLANK in t.lstrip(piece_bpe.BLANK) for t, k in zip(texts, kinds))
 
     def groups(self, pieces: list[bytes]) -> list[bytes]:
+        return [value for at in range(0, len(pieces), CALL) for value in self._groups(pieces[at : at + CALL])]
+
+    def _groups(self, pieces: list[bytes]) -> list[bytes]:
         """Of each piece, which starts with a blank: three sizes, both lists of ids, and both lists of group ends; all zero if bytes differ."""
         texts = [p.decode() for p in pieces]
         left = self.first.encode_batch_fast(texts, add_special_tokens=False)

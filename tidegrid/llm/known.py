@@ -10,8 +10,8 @@ from .arrays import binary_array, gathered
 
 # A worker keeps two generations of pieces, each of so many or so many bytes of pieces and values. When the young one is
 # full it becomes the old one, and what was in neither again is forgotten; a piece met again is worked out again.
-PIECES = 300_000
-BYTES = 32 << 20
+PIECES = 150_000
+BYTES = 16 << 20
 
 
 class Known:
