@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import alignment, byte_bpe, decontaminate, language_id, line_dedup, piece_bpe, simhash, toxicity, url_filter, warc, wavelet, weighted_sampling
+from . import alignment, byte_bpe, decontaminate, language_id, line_dedup, piece_bpe, prefix_trie, simhash, toxicity, url_filter, warc, wavelet, weighted_sampling
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 TWINS: dict[str, str] = {}
@@ -146,3 +146,52 @@ def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     definition = byte_bpe.read_ranks(byte_bpe.tokenizer_file(spark, "byte_bpe_50k.json")).decode()
     model = byte_bpe.read_ranks(byte_bpe.tokenizer_file(spark, "piece_bpe_32k.model"))
     return alignment.digests(table(spark, sf_dir, "documents"), definition, model)
+
+
+@query("""
+WITH turns AS (
+    SELECT conv_id AS c, role, text, sha256(octet_length(encode(role)) || ':' || role || text) AS name, turn
+    FROM (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL)
+),
+own AS MATERIALIZED (SELECT c, name, length(text) AS size, row_number() OVER (PARTITION BY c ORDER BY turn NULLS FIRST, name) AS p FROM turns),
+-- CRC-32 of the decimal id, one bit at a time.
+convs AS MATERIALIZED (
+    SELECT c, c - c % 100 AS base,
+           xor(4294967295, list_reduce(
+               list_prepend(4294967295::BIGINT, list_transform(string_split(c::VARCHAR, ''), lambda d: ord(d)::BIGINT)),
+               lambda state, sign: list_reduce(list_prepend(xor(state, sign), [0::BIGINT, 0, 0, 0, 0, 0, 0, 0]),
+                   lambda s, zero: xor(s >> 1, 3988292384 * (s % 2)))
+           )) % 6 AS h
+    FROM (SELECT DISTINCT c FROM own)
+),
+rebuilt AS (
+    SELECT v.c, o.p, o.name, o.size FROM convs v JOIN own o ON o.c = v.base AND o.p <= v.h
+    UNION ALL SELECT v.c, 1000 + o.p, o.name, o.size FROM convs v JOIN own o ON o.c = v.c AND o.p > v.h
+),
+whole AS (
+    SELECT v.c, coalesce(list(name ORDER BY p) FILTER (WHERE p IS NOT NULL), []) AS names, coalesce(list(size ORDER BY p) FILTER (WHERE p IS NOT NULL), []) AS sizes
+    FROM convs v LEFT JOIN rebuilt r ON r.c = v.c GROUP BY v.c
+),
+prefixes AS (
+    SELECT c, d, sha256(array_to_string(names[1:d], ',')) AS k, CASE WHEN d > 0 THEN sha256(array_to_string(names[1:d - 1], ',')) END AS up,
+           len(names) = d AS ends, coalesce(sizes[d], 0) AS size
+    FROM (SELECT *, unnest(range(len(names) + 1)) AS d FROM whole)
+),
+nodes AS MATERIALIZED (
+    SELECT d, k, any_value(up) AS up, any_value(size) AS size, min(c) AS conv_id, count(*) AS n_convs,
+           sha256(coalesce(string_agg(c::VARCHAR, ',' ORDER BY c) FILTER (WHERE ends), '')) AS ends_sha256
+    FROM prefixes GROUP BY d, k
+),
+children AS (SELECT d - 1 AS d, up AS k, count(*) AS n FROM nodes WHERE d > 0 GROUP BY d, up),
+-- Every node above a conversation's node, once per node and ancestor.
+above AS (SELECT DISTINCT p.d, p.k, a.d AS a_d, a.k AS a_k FROM prefixes p JOIN prefixes a ON a.c = p.c AND a.d <= p.d),
+sums AS (
+    SELECT a_d AS d, a_k AS k, count(*) FILTER (WHERE ch.n IS NULL) AS leaves, sum((n.n_convs - 1) * n.size) AS saved
+    FROM above JOIN nodes n USING (d, k) LEFT JOIN children ch USING (d, k) GROUP BY a_d, a_k
+)
+SELECT n.conv_id, n.d::BIGINT AS depth, u.conv_id AS parent_conv_id, n.n_convs, coalesce(ch.n, 0)::BIGINT AS n_children, s.leaves::BIGINT AS n_leaves,
+       s.saved::BIGINT AS saved_tokens, n.ends_sha256
+FROM nodes n JOIN sums s USING (d, k) LEFT JOIN children ch USING (d, k) LEFT JOIN nodes u ON u.d = n.d - 1 AND u.k = n.up
+""")
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.family_trie(table(spark, sf_dir, "conversations"))
