@@ -3,6 +3,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pytest
 from tokenizers import Tokenizer
 
 from tidegrid.llm import wavelet
@@ -29,7 +30,7 @@ def got(df):
     return sorted(map(tuple, df.select("doc_id", "start", "n_tokens", "ids_crc32").collect()), key=lambda r: r[1])
 
 
-def test_equal_to_the_library(spark, monkeypatch):
+def test_equal_to_the_library(spark):
     rng = random.Random(4)
     signs = "aB'stre 1.\né́≮"
     rows = [(i, t) for i, t in enumerate(TEXTS)] + [(100 + i, "".join(rng.choice(signs) for _ in range(20))) for i in range(400)]
@@ -39,15 +40,20 @@ def test_equal_to_the_library(spark, monkeypatch):
     assert wavelet.digests(spark, docs.limit(0), DEFINITION).count() == 0
 
 
-def test_shards_and_forgetting(monkeypatch):
-    monkeypatch.setattr(wavelet, "KNOWN", 3)
+def test_forgetting():
     data, bounds = wavelet.flat(__import__("pyarrow").array(TEXTS))
-    for _ in range(2):
-        ids, counts = wavelet._Encoder(DEFINITION).encode(data, bounds)
+    encoder = wavelet._Encoder(DEFINITION, 3)
+    for _ in range(3):
+        ids, counts = encoder.encode(data, bounds)
         want = [LIBRARY.encode(t or "", add_special_tokens=False).ids for t in TEXTS]
         assert counts.tolist() == list(map(len, want)) and ids.tolist() == sum(want, [])
 
 
+def test_other_definitions_are_refused():
+    with pytest.raises(ValueError):
+        wavelet._Encoder(DEFINITION.replace("Lowercase", "NFD"))
+
+
 def test_queries_on_a_file(monkeypatch):
     monkeypatch.setattr(wavelet, "BLOCK_BITS", 64)
     rng = np.random.default_rng(6)

@@ -164,9 +164,10 @@ def burst(sequences: DataFrame, turns: DataFrame, limit: int) -> tuple[DataFrame
     last turn, others the sequences of its container, null if the sequence ends at an inner node, its head.
     (head, path, depth, size) of inner nodes.
     """
-    state = sequences.select(
+    # Written, so that the head is a column like any other in the joins below.
+    state = stage(sequences.select(
         "*", F.lit(ROOT).alias("head"), F.lit(0).alias("depth"), F.array().cast("array<binary>").alias("path"), F.lit(0).cast("long").alias("size")
-    )
+    ), "distinct")
     settled, inner, depth = [], [], 0
     while True:
         sums = state.groupBy("head").agg(F.count("*").alias("others"), F.sum(F.col("len") - depth).alias("left"), F.first("path").alias("path"), F.first("size").alias("size"))
@@ -321,8 +322,7 @@ def inner_nodes(suffixes: DataFrame, inner: DataFrame, heads: DataFrame) -> Data
 def nodes(turns: DataFrame, conversations: DataFrame, limit: int = LIMIT) -> DataFrame:
     """All nodes of the trie of conversations, given their turns (conv_id, pos, turn, size, after) and their ids."""
     turns = stage(turns, "rebuilt")
-    sequences = stage(distinct_sequences(turns, conversations), "distinct")
-    suffixes, inner = burst(sequences, turns, limit)
+    suffixes, inner = burst(distinct_sequences(turns, conversations), turns, limit)
     if inner is None:
         return container_nodes(suffixes, turns).select(COLUMNS)
     suffixes = stage(suffixes, "settled")

@@ -5,8 +5,9 @@ plane holds one bit of every id, the highest first; behind each plane ids are pa
 blocks of ``BLOCK_BITS``, each compressed alone, with the number of ones before it: a rank or select opens one block
 per plane. Bytes of a file: magic, length of the header, header (JSON, zstandard), blocks.
 
-Texts are cut into pieces that the tokenizer can never join (at changes between ASCII letters, digits, white space and
-other signs), and a worker encodes each distinct piece once, so the library sees a small part of the text.
+Texts are cut into pieces that the tokenizer can never join (at white space, which has no ids, and at changes between ASCII
+letters, digits and other signs), and a worker encodes each distinct piece once, so the library sees a small part of the
+text. A definition that does not drop white space and make lower case by itself is refused.
 
 Documents are dealt out by ranges of the id and sorted, and a task writes its shards as it goes. An attempt writes
 files of its own name; only those that a finished task reports are read. Shards are cut by tokens, so memory is
@@ -23,6 +24,7 @@ import json
 import os
 import uuid
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -35,14 +37,16 @@ from pyspark.sql import functions as F
 from tidegrid.session import stage, staging_path
 
 from . import files
-from .arrays import binary_array, flat, gathered, slices
+from .arrays import LOWER, binary_array, flat, slices
+from .known import Known
 
 END = 1
 BITS = 16
 BLOCK_BITS = 1 << 16
 SHARD_TOKENS = 4_000_000
-# Distinct pieces whose ids a worker remembers.
-KNOWN = 500_000
+# Distinct pieces whose ids a worker remembers, twice; pieces that go to the library at once.
+KNOWN = 250_000
+CALL = 5_000
 MAGIC = b"WVM1"
 _SLICE = 2 << 20
 # 1 ASCII letter, 2 digit, 3 white space, 4 other sign, 0 part of a sign beyond ASCII.
@@ -51,6 +55,14 @@ _CLASS[65:91] = _CLASS[97:123] = 1
 _CLASS[48:58] = 2
 _CLASS[9:14] = _CLASS[32] = 3
 _CLASS[128:] = 0
+_BLANK = 3
+# What the cut at white space and signs relies on: fixed values of the tokenizer's definition.
+_NORMALIZER = {"type": "Sequence", "normalizers": [
+    {"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"},
+]}
+_SPLIT = {
+    "type": "Split", "pattern": {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"}, "behavior": "Removed", "invert": True,
+}
 
 
 # Files ------------------------------------------------------------------------------------------------------------
@@ -166,17 +178,23 @@ class WaveletFile:
 class _Encoder:
     """The tokenizer with the ids of pieces already seen."""
 
-    def __init__(self, definition: str):
+    def __init__(self, definition: str, known: int = KNOWN):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
+        rules = json.loads(definition)
+        if rules["normalizer"] != _NORMALIZER or rules["pre_tokenizer"]["pretokenizers"][0] != _SPLIT:
+            raise ValueError("texts are cut for another tokenizer than this")
         self.tokenizer = Tokenizer.from_str(definition)
         self.special = [t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.known: dict[bytes, bytes] = {}
+        self.known = Known(self._encoded, known)
 
-    def _encoded(self, texts: list[bytes]) -> list[bytes]:
-        found = self.tokenizer.encode_batch_fast([t.decode() for t in texts], add_special_tokens=False)
-        return [np.array(e.ids, np.uint16).tobytes() for e in found]
+    def _encoded(self, pieces: list[bytes]) -> list[bytes]:
+        found = []
+        for at in range(0, len(pieces), CALL):
+            texts = [p.decode() for p in pieces[at : at + CALL]]
+            found += [array("H", e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        return found
 
     def encode(self, data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of some texts joined, and the number of ids of each."""
@@ -186,29 +204,23 @@ class _Encoder:
             for i in range(len(bounds) - 1) if word in raw[bounds[i] : bounds[i + 1]]
         }
         kind = _CLASS[data]
-        start = np.zeros(len(data), bool)
-        start[1:] = (kind[1:] != kind[:-1]) & (kind[1:] != 0) & (kind[:-1] != 0) & ~((data[:-1] == 39) & (kind[1:] == 1))
-        start[bounds[:-1][bounds[:-1] < len(data)]] = True
         for i in whole:
             # The library knows its special words only in a text as it is.
-            start[bounds[i] + 1 : bounds[i + 1]] = False
+            kind[bounds[i] : bounds[i + 1]] = 0
+        keep = kind != _BLANK
+        start = np.zeros(len(data), bool)
+        # White space parts whatever stands on its sides; other signs part from signs of another class if both are ASCII.
+        start[1:] = (kind[1:] != kind[:-1]) & (kind[1:] != 0) & (kind[:-1] != 0) & ~((data[:-1] == 39) & (kind[1:] == 1)) | ~keep[:-1]
+        start[bounds[:-1][bounds[:-1] < len(data)]] = True
+        start &= keep
         starts = np.flatnonzero(start)
-        coded = binary_array(data, np.append(starts, len(data))).dictionary_encode()
-        pieces = coded.dictionary.to_pylist()
-        new = [p for p in pieces if p not in self.known]
-        if len(self.known) + len(new) > KNOWN:
-            self.known, new = {}, pieces
-        for at in range(0, len(new), 20_000):
-            part = new[at : at + 20_000]
-            self.known.update(zip(part, self._encoded(part)))
-        ids = [self.known[p] for p in pieces]
-        sizes = np.fromiter(map(len, ids), np.int64, len(ids)) // 2
-        codes = coded.indices.to_numpy(zero_copy_only=False)
-        flat_ids = np.frombuffer(b"".join(ids), np.uint16)
-        per_piece = sizes[codes]
-        ends = np.concatenate([[0], np.cumsum(per_piece)])
-        pieces_before = np.searchsorted(starts, bounds)
-        return gathered(flat_ids, (np.cumsum(sizes) - sizes)[codes], per_piece), np.diff(ends[pieces_before])
+        before = np.zeros(len(data) + 1, np.int64)
+        np.cumsum(keep, out=before[1:])
+        # The tokenizer makes lower case of everything; done first for ASCII, fewer pieces differ.
+        lower = LOWER[data] if not whole else data
+        ids, counts = self.known.numbers(lower[keep], before[starts], "<u2")
+        ends = np.concatenate([[0], np.cumsum(counts)])
+        return ids, np.diff(ends[np.searchsorted(starts, bounds)])
 
 
 @functools.lru_cache(1)
