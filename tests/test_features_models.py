@@ -131,26 +131,84 @@ def test_ols_and_ridge_equal_the_closed_form(table):
     assert np.linalg.norm(models.fit_ridge(vectors, 1000.0).coefficients.toArray()) < np.linalg.norm(models.fit_ols(vectors).coefficients.toArray())
 
 
-def test_lasso_path_equals_single_fits(table):
-    df, vectors, columns, _, _ = table
-    for alpha, b, w in models.lasso_path(df, columns, [0.001, 0.05, 0.5, 50.0]):
-        model = models.fit_lasso(vectors, alpha)
+def test_search_equals_single_fits_and_coordinate_descent(table):
+    df, vectors, columns, x, y = table
+    grid = [0.0001, 0.001, 0.05, 0.5, 50.0]
+    search = models.tune_lasso(df, df, columns, grid)
+    got = {r.alpha: r for r in search.results.collect()}
+    for alpha, model in zip(grid, search.models):
+        single = models.fit_lasso(vectors, alpha)
+        assert np.allclose(model.coefficients.toArray(), single.coefficients.toArray(), atol=1e-6)
+        w = descent(x, y, alpha)
         assert np.allclose(model.coefficients.toArray(), w, atol=1e-5)
-        assert model.intercept == pytest.approx(b, abs=1e-5)
-    strong = models.lasso_path(df, columns, [0.05])[0][2]
+        expected = np.abs(np.maximum(np.expm1((x - x.mean(0)) @ w + y.mean()), 0) - np.expm1(y)).mean()
+        assert got[alpha].validation_mae == pytest.approx(expected, rel=1e-4)
+        assert got[alpha].n_nonzero_coefs == np.count_nonzero(w)
+    assert search.alpha == min(grid, key=lambda a: got[a].validation_mae) == search.best.getRegParam()
+    strong = search.models[2].coefficients
     assert strong[3] == 0.0 and strong[0] != 0.0
 
 
-def test_path_scores_and_best_alpha(table):
+def descent(x, y, alpha, rounds=4000):
+    """Textbook coordinate descent."""
+    x, y, n = x - x.mean(0), y - y.mean(), len(y)
+    w = np.zeros(x.shape[1])
+    for _ in range(rounds):
+        for j in range(len(w)):
+            pull = x[:, j] @ (y - x @ w + x[:, j] * w[j]) / n
+            w[j] = np.sign(pull) * max(abs(pull) - alpha, 0) / (x[:, j] @ x[:, j] / n)
+    return w
+
+
+def test_ties_of_the_search_and_no_validation_rows(table):
+    df, _, columns, _, _ = table
+    assert models.tune_lasso(df, df, columns, [100.0, 50.0, 70.0]).alpha == 50.0
+    with pytest.raises(ValueError):
+        models.tune_lasso(df, df.limit(0), columns, [0.1])
+
+
+def test_search_on_dependent_inputs(spark, year):
+    """Full one-hot sets, all 65 inputs and the smallest alpha of the grid: every fit ends, errors fall towards least squares."""
+    columns = features.feature_columns("linear", DOMAINS)
+    rows_ = features.feature_table(year, "linear", DOMAINS, groups(spark))
+    fit, validation = features.split_train_test(rows_, "2026-01-02 00:00:00")
+    search = models.tune_lasso(fit, validation, columns, [1e-5, 1e-3, 10.0], features.CONTINUOUS_COLUMNS)
+    errors = [r.validation_mae for r in search.results.orderBy("alpha").collect()]
+    assert errors[2] > 2 * errors[1] and search.models[2].coefficients.numNonzeros() == 0
+    single = models.fit_demand(fit, columns, lambda v: models.fit_lasso(v, 1e-3), features.CONTINUOUS_COLUMNS)
+    error = single.transform(validation).agg(F.avg(F.abs(F.col("predicted") - F.expm1(features.TARGET)))).first()[0]
+    assert errors[1] == pytest.approx(error, rel=1e-6)
+
+
+def test_scaled_pipeline_survives_a_round_trip(table, tmp_path):
     df, _, columns, x, y = table
-    grid = [0.0001, 0.01, 1.0]
-    best, results = models.tune_lasso(df, df, columns, grid)
-    got = {r.alpha: r for r in results.collect()}
-    for alpha, b, w in models.lasso_path(df, columns, grid):
-        expected = np.abs(np.maximum(np.expm1(x @ w + b), 0) - np.expm1(y)).mean()
-        assert got[alpha].validation_mae == pytest.approx(expected, rel=1e-9)
-        assert got[alpha].n_nonzero_coefs == np.count_nonzero(w)
-    assert best == min(grid, key=lambda a: got[a].validation_mae)
+    model = models.fit_demand(df, columns, lambda v: models.fit_lasso(v, 0.01), ["a", "b"])
+    models.save_model(model, str(tmp_path / "lasso"))
+    loaded = models.load_model(str(tmp_path / "lasso"))
+    out = loaded.transform(df)
+    assert out.columns == [*df.columns, "predicted"]
+    assert [r.predicted for r in out.collect()] == [r.predicted for r in model.transform(df).collect()]
+    scaled = x.copy()
+    scaled[:, :2] = (x[:, :2] - x[:, :2].mean(0)) / x[:, :2].std(0)
+    want = np.maximum(np.expm1((scaled - scaled.mean(0)) @ descent(scaled, y, 0.01) + y.mean()), 0)
+    assert np.allclose([r.predicted for r in out.collect()], want, rtol=1e-4)
+
+
+def test_scaler_of_constant_and_unknown_columns(spark):
+    train = spark.createDataFrame([(1.0, 5.0), (3.0, 5.0)], "a double, b double")
+    got = models.Standardize(columns=["a", "b"]).fit(train).transform(spark.createDataFrame([(10.0, 7.0)], "a double, b double")).first()
+    assert (got.a__z, got.b__z) == (8.0, 2.0)
+    with pytest.raises(ValueError):
+        models.Standardize(columns=["a"]).fit(train.limit(0))
+
+
+def test_unknown_inputs_are_an_error(table):
+    df, _, columns, _, _ = table
+    model = models.fit_demand(df, columns, models.fit_ols)
+    broken = df.withColumn("b", F.when(F.col("a") < 2, F.col("b")))
+    for action in (lambda: model.transform(broken).collect(), lambda: models.fit_demand(broken, columns, models.fit_ols)):
+        with pytest.raises(Exception, match="null while assembling"):
+            action()
 
 
 def test_predictions_are_counts_and_survive_a_round_trip(table, tmp_path):
@@ -207,10 +265,12 @@ def year(spark):
 def test_evaluation_frame_holds_every_model_on_the_same_rows(spark, year):
     train, test = features.split_train_test(year)
     fitted = {}
+    periods = models.Periods("2025-12-28 00:00:00", "2026-01-01 00:00:00")
     for name, spec in models.REGISTRY.items():
         columns = features.feature_columns(spec.feature_set, DOMAINS)
-        t = features.assemble(features.feature_table(train, spec.feature_set, DOMAINS, groups(spark)), columns)
-        fitted[name] = models.fit_boosting(t, maxIter=5) if name == "gradient_boosting" else spec.fit(t)
+        t = features.feature_table(train, spec.feature_set, DOMAINS, groups(spark))
+        quick = name == "gradient_boosting"
+        fitted[name] = models.fit_demand(t, columns, lambda v: models.fit_boosting(v, maxIter=5)) if quick else spec.fit(t, columns, periods)
     frame = models.evaluation_frame(test, fitted, DOMAINS, groups(spark))
     assert frame.columns == [*models.EVALUATION_CONTEXT, "actual", *[f"pred_{n}" for n in models.REGISTRY]]
     assert frame.count() == test.count()
@@ -219,6 +279,8 @@ def test_evaluation_frame_holds_every_model_on_the_same_rows(spark, year):
         F.avg(F.abs(F.col("actual") - F.col("pred_linear_regression"))), F.avg("actual"),
     ).first()
     assert check[0] < 5 and check[1] < check[2] / 2
+    lasso = frame.agg(F.avg(F.abs(F.col("actual") - F.col("pred_lasso")))).first()[0]
+    assert lasso < check[2] / 2
     broken = test.withColumn("dwpf", F.lit(None).cast("double"))
     with pytest.raises(Exception, match="null while assembling"):
         models.evaluation_frame(broken, fitted, DOMAINS, groups(spark)).collect()

@@ -269,12 +269,15 @@ def _drop_sql(c: str) -> str:
     + " UNION ALL ".join(
         f"""SELECT '{m}' AS model, {t.rnd_sql(f'stddev_samp(dtdi) / nullif(stddev_samp(dtdi_{m}), 0)', 4)} AS std_ratio,
   {t.rnd_sql(_drop_sql('dtdi'))} AS actual_drop, {t.rnd_sql(_drop_sql(f'dtdi_{m}'))} AS predicted_drop,
-  {t.rnd_sql(f"100 * {_drop_sql(f'dtdi_{m}')} / {_drop_sql('dtdi')}", 4)} AS pct_drop_captured FROM sure"""
-        for m in ("damped",)
+  {t.rnd_sql(f"100 * {_drop_sql(f'dtdi_{m}')} / {_drop_sql('dtdi')}", 4)} AS pct_drop_captured
+  FROM (SELECT *, baseline_pickup_count * day_of_week / nullif(baseline_pickup_count, 0) AS dtdi_weekday FROM sure)"""
+        for m in ("damped", "weekday")
     )
 )
 def severity_compression(spark, sf_dir):
-    out = dtdi.compression(hour_sure(spark, sf_dir), "dtdi", {"damped": "dtdi_damped"})
+    sure = hour_sure(spark, sf_dir)
+    weekday = dtdi.demand_ratio(F.col("baseline_pickup_count") * F.col("day_of_week"), F.col("baseline_pickup_count"))
+    out = dtdi.compression(sure.withColumn("dtdi_weekday", weekday), "dtdi", {"damped": "dtdi_damped", "weekday": "dtdi_weekday"})
     return out.select(
         "model", t.rnd("std_ratio", 4).alias("std_ratio"), t.rnd("actual_drop").alias("actual_drop"),
         t.rnd("predicted_drop").alias("predicted_drop"),

@@ -182,29 +182,52 @@ def lasso_fit(spark, sf_dir):
 
 # --- models: all inputs --------------------------------------------------------------------------------
 
+PERIODS = models.Periods(t.HOUR_VALIDATION_START, t.HOUR_TRAIN_END)
+
 
 def _linear_split(spark, sf_dir):
-    """Scaled linear inputs of the fitting and the validation part."""
+    """Linear inputs of the fitting and the validation part."""
     table = stage(_table(spark, sf_dir, t.hour_enriched(spark, sf_dir), "linear"), "features-linear")
     train, _ = features.split_train_test(table, t.HOUR_TRAIN_END)
-    fit, validation = features.split_train_validation(train, t.HOUR_VALIDATION_START, t.HOUR_TRAIN_END)
-    scaler = stage(features.fit_scaler(fit), "scaler")
+    return features.split_train_validation(train, t.HOUR_VALIDATION_START, t.HOUR_TRAIN_END)
+
+
+def _search(spark, sf_dir):
     columns = features.feature_columns("linear", domains(spark, sf_dir))
-    return features.apply_scaler(fit, scaler), features.apply_scaler(validation, scaler), columns
+    return columns, models.tune_lasso(*_linear_split(spark, sf_dir), columns, scaled=features.CONTINUOUS_COLUMNS)
 
 
 @query()
 def lasso_path(spark, sf_dir):
-    fit, validation, columns = _linear_split(spark, sf_dir)
-    return models.score_path(validation, columns, models.lasso_path(fit, columns))
+    return _search(spark, sf_dir)[1].results
 
 
 @query()
 def lasso_retained(spark, sf_dir):
-    fit, validation, columns = _linear_split(spark, sf_dir)
-    alpha, _ = models.tune_lasso(fit, validation, columns)
-    (_, _, weights), = models.lasso_path(fit, columns, [alpha])
-    return models.retained_by_group(spark, columns, weights)
+    columns, search = _search(spark, sf_dir)
+    return models.retained_by_group(spark, columns, search.best.coefficients)
+
+
+ALPHAS_SQL = "SELECT CAST(unnest(range(25)) AS INT) AS i"
+
+
+@query(f"""WITH {_ONE_INPUT_SQL.replace("pickup_hour < TIMESTAMP '" + t.HOUR_TRAIN_END + "'", "pickup_hour < TIMESTAMP '" + t.HOUR_VALIDATION_START + "'")},
+spread AS (SELECT stddev_pop(x) AS sx FROM xy WHERE pickup_hour < TIMESTAMP '{t.HOUR_VALIDATION_START}'),
+grid AS ({ALPHAS_SQL}),
+path AS (
+  SELECT i, power(10, -5 + i / 4.0) AS alpha, mx, my, sx, greatest(sxy / n / sx - power(10, -5 + i / 4.0), 0) AS w
+  FROM moments CROSS JOIN spread CROSS JOIN grid)
+SELECT i AS position, {t.rnd_sql('avg(abs(greatest(exp(my + w * (x - mx) / sx) - 1, 0) - (exp(y) - 1)))', 5)} AS validation_mae,
+  CAST(max(CASE WHEN w > 0 THEN 1 ELSE 0 END) AS INT) AS n_nonzero_coefs
+FROM xy CROSS JOIN path
+WHERE pickup_hour >= TIMESTAMP '{t.HOUR_VALIDATION_START}' AND pickup_hour < TIMESTAMP '{t.HOUR_TRAIN_END}' GROUP BY i""")
+def lasso_path_one_input(spark, sf_dir):
+    """The search over one scaled input, which has a closed form."""
+    one = ["log1p_baseline_pickup_count"]
+    found = models.tune_lasso(*_linear_split(spark, sf_dir), one, scaled=one).results
+    return found.select(
+        F.round((F.log10("alpha") + 5) * 4).cast("int").alias("position"), t.rnd("validation_mae", 5).alias("validation_mae"), "n_nonzero_coefs"
+    )
 
 
 def _fitted(spark, sf_dir, df, names):
@@ -214,10 +237,9 @@ def _fitted(spark, sf_dir, df, names):
     for name in names:
         feature_set = models.REGISTRY[name].feature_set
         if feature_set not in tables:
-            columns = features.feature_columns(feature_set, domains(spark, sf_dir))
-            table = features.assemble(_table(spark, sf_dir, train, feature_set), columns)
-            tables[feature_set] = stage(table.select("features", features.TARGET), f"train-{feature_set}")
-        out[name] = models.REGISTRY[name].fit(tables[feature_set])
+            tables[feature_set] = stage(_table(spark, sf_dir, train, feature_set), f"train-{feature_set}")
+        columns = features.feature_columns(feature_set, domains(spark, sf_dir))
+        out[name] = models.REGISTRY[name].fit(tables[feature_set], columns, PERIODS)
     return out
 
 
@@ -226,9 +248,7 @@ def gbt_fit(spark, sf_dir):
     df = processed(spark, sf_dir)
     model = _fitted(spark, sf_dir, df, ["gradient_boosting"])["gradient_boosting"]
     _, test = features.split_train_test(df, t.HOUR_TRAIN_END)
-    columns = features.feature_columns("gradient_boosting", domains(spark, sf_dir))
-    rows = features.assemble(_table(spark, sf_dir, test, "gradient_boosting"), columns)
-    return models.predict_demand(model, rows).select(*features.ROW_KEY, "predicted")
+    return models.predict_demand(model, _table(spark, sf_dir, test, "gradient_boosting")).select(*features.ROW_KEY, "predicted")
 
 
 @query()
@@ -251,7 +271,7 @@ def permutation_importance(spark, sf_dir):
     model = _fitted(spark, sf_dir, df, ["gradient_boosting"])["gradient_boosting"]
     _, test = features.split_train_test(df, t.HOUR_TRAIN_END)
     columns = features.feature_columns("gradient_boosting", domains(spark, sf_dir))
-    return models.importance(model, _table(spark, sf_dir, test, "gradient_boosting"), columns)
+    return models.importance(models.regression(model), _table(spark, sf_dir, test, "gradient_boosting"), columns)
 
 
 @query(_one_input_sql("sxy / sxx"))

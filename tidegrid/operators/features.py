@@ -141,9 +141,9 @@ def feature_table(
 
 
 def assemble(
-    df: DataFrame, columns: list[str], output: str = "features", invalid: str = "skip"
+    df: DataFrame, columns: list[str], output: str = "features", invalid: str = "error"
 ) -> DataFrame:
-    """The inputs as one vector column; a row with an unknown input is skipped, or an error."""
+    """The inputs as one vector column; a row with an unknown input is an error, or is kept or skipped on request."""
     return VectorAssembler(inputCols=columns, outputCol=output, handleInvalid=invalid).transform(df)
 
 

@@ -1,29 +1,35 @@
 """Demand models on ``pyspark.ml``: fit, tune, predict, persist, compare, explain.
 
-Targets are log1p counts. Predictions come back as counts, never below zero.
+Targets are log1p counts. A fitted demand model is one ``PipelineModel`` over a feature table: scaler (where the
+regression needs one), assembler, regression, and the way back to counts that are never below zero. It saves and
+loads as one. Rows with an unknown input are an error when a model is fitted as well as when it scores.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Callable, Iterator, Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
+from multiprocessing.pool import ThreadPool
 
-import numpy as np
-import pandas as pd
-from pyspark.ml import Model, PipelineModel, Transformer
+from pyspark import inheritable_thread_target, keyword_only
+from pyspark.ml import Estimator, Model, PipelineModel, Transformer
+from pyspark.ml.evaluation import Evaluator
 from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.regression import GBTRegressor, LinearRegression
-from pyspark.ml.stat import Correlation, Summarizer
-from pyspark.sql import DataFrame, Window
+from pyspark.ml.tuning import ParamGridBuilder
+from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import stage
-from .features import ROW_KEY, TARGET, Domains, assemble, feature_columns, feature_table
+from ..sources import schemas as S
+from .features import CONTINUOUS_COLUMNS, ROW_KEY, TARGET, Domains, assemble, feature_table, split_train_validation
 
 # --- fixed values: model settings --------------------------------------------------------------
 RIDGE_ALPHA = 1.0
-LASSO_ALPHA_GRID = [float(a) for a in np.logspace(-5, 1, 25)]
+LASSO_ALPHA_GRID = [10 ** (-5 + i / 4) for i in range(25)]
 BOOSTING = {"stepSize": 0.1, "maxIter": 100, "maxDepth": 5, "maxBins": 64, "seed": 42}
 EVALUATION_CONTEXT = [
     "taxi_type",
@@ -37,6 +43,8 @@ EVALUATION_CONTEXT = [
     "weather_severity",
 ]
 IMPORTANCE_REPEATS = 3
+# Fits of a search that run at the same time; each is one pass over a stored table.
+PARALLEL_FITS = 4
 
 
 def _linear(**settings) -> LinearRegression:
@@ -69,152 +77,202 @@ def fit_boosting(train: DataFrame, **settings) -> Model:
     ).fit(train)
 
 
-@dataclass(frozen=True)
-class ModelSpec:
-    feature_set: str
-    fit: Callable[[DataFrame], Model]
+# --- steps of a demand model ----------------------------------------------------------------------
 
 
-REGISTRY: dict[str, ModelSpec] = {
-    "linear_regression": ModelSpec("linear", fit_ols),
-    "ridge": ModelSpec("linear", fit_ridge),
-    "gradient_boosting": ModelSpec("gradient_boosting", fit_boosting),
-}
+class _ScaledColumns(Params):
+    columns = Param(Params._dummy(), "columns", "columns to scale; each gives a column with __z behind its name", TypeConverters.toListString)
+
+
+class Standardize(Estimator, _ScaledColumns, DefaultParamsReadable, DefaultParamsWritable):
+    """(x - mean) / population deviation of the rows it is fitted on; a constant column is only centred."""
+
+    @keyword_only
+    def __init__(self, *, columns: list[str] | None = None):
+        super().__init__()
+        self._set(**self._input_kwargs)
+
+    def _fit(self, dataset: DataFrame) -> StandardizeModel:
+        names = self.getOrDefault("columns")
+        row = dataset.agg(*[F.avg(c) for c in names], *[F.stddev_pop(c) for c in names]).first()
+        means, deviations = list(row[: len(names)]), list(row[len(names) :])
+        if None in means:
+            raise ValueError("nothing to scale by: no known value in some column")
+        return StandardizeModel(columns=names, means=means, deviations=[d or 1.0 for d in deviations])
+
+
+class StandardizeModel(Model, _ScaledColumns, DefaultParamsReadable, DefaultParamsWritable):
+    means = Param(Params._dummy(), "means", "mean per column", TypeConverters.toListFloat)
+    deviations = Param(Params._dummy(), "deviations", "population deviation per column, 1 for a constant one", TypeConverters.toListFloat)
+
+    @keyword_only
+    def __init__(self, *, columns: list[str] | None = None, means: list[float] | None = None, deviations: list[float] | None = None):
+        super().__init__()
+        self._set(**self._input_kwargs)
+
+    def _transform(self, dataset: DataFrame) -> DataFrame:
+        fitted = zip(*(self.getOrDefault(p) for p in ("columns", "means", "deviations")))
+        return dataset.withColumns({f"{c}__z": (F.col(c) - F.lit(m)) / F.lit(d) for c, m, d in fitted})
+
+
+def to_count(raw: Column) -> Column:
+    """Back from the log scale, at least zero."""
+    return F.greatest(F.expm1(raw), F.lit(0.0))
+
+
+class ToCounts(Transformer, DefaultParamsReadable, DefaultParamsWritable):
+    """``predicted`` as a count; what the steps before have added goes."""
+
+    dropped = Param(Params._dummy(), "dropped", "columns that only the steps before need", TypeConverters.toListString)
+
+    @keyword_only
+    def __init__(self, *, dropped: list[str] | None = None):
+        super().__init__()
+        self._setDefault(dropped=[])
+        self._set(**self._input_kwargs)
+
+    def _transform(self, dataset: DataFrame) -> DataFrame:
+        return dataset.withColumn("predicted", to_count(F.col("prediction"))).drop("prediction", *self.getOrDefault("dropped"))
+
+
+class CountError(Evaluator):
+    """Mean absolute error in counts of predictions on the log scale, also of many at once in one job."""
+
+    def errors(self, dataset: DataFrame, predictions: Sequence[str]) -> list[float]:
+        return list(dataset.agg(*[F.avg(F.abs(to_count(F.col(p)) - F.expm1(TARGET))) for p in predictions]).first())
+
+    def _evaluate(self, dataset: DataFrame) -> float:
+        return self.errors(dataset, ["prediction"])[0]
+
+    def isLargerBetter(self) -> bool:
+        return False
+
+
+def _inputs(table: DataFrame, columns: Sequence[str], scaled: Sequence[str]) -> list[Transformer]:
+    """Scaler, fitted on these rows, and assembler."""
+    names = [f"{c}__z" if c in scaled else c for c in columns]
+    assembler = VectorAssembler(inputCols=names, outputCol="features", handleInvalid="error")
+    return [Standardize(columns=list(scaled)).fit(table), assembler] if scaled else [assembler]
+
+
+def fit_demand(table: DataFrame, columns: Sequence[str], fit: Callable[[DataFrame], Model], scaled: Sequence[str] = ()) -> PipelineModel:
+    """A demand model over named inputs; ``fit`` gets vectors and target, stored once."""
+    steps = _inputs(table, columns, scaled)
+    vectors = stage(PipelineModel(steps).transform(table).select("features", TARGET), "vectors")
+    return PipelineModel([*steps, fit(vectors), ToCounts(dropped=["features", *[f"{c}__z" for c in scaled]])])
+
+
+def regression(model: PipelineModel) -> Model:
+    """The regression inside a demand model; it takes ``features`` and gives ``prediction``."""
+    return model.stages[-2]
 
 
 def predict_demand(model: Transformer, df: DataFrame, output: str = "predicted") -> DataFrame:
-    """Predicted count, back from the log scale and at least zero."""
-    return (
-        model.transform(df)
-        .withColumn(output, F.greatest(F.expm1("prediction"), F.lit(0.0)))
-        .drop("prediction")
-    )
+    """Predicted count, from a demand model or a bare regression."""
+    out = model.transform(df)
+    if "prediction" in out.columns:
+        out = ToCounts().transform(out)
+    return out.withColumnRenamed("predicted", output)
 
 
 def save_model(model: Model, path: str) -> None:
-    PipelineModel([model]).write().overwrite().save(path)
+    whole = model if isinstance(model, PipelineModel) else PipelineModel([model])
+    whole.write().overwrite().save(path)
 
 
-def load_model(path: str) -> Transformer:
+def load_model(path: str) -> PipelineModel:
     return PipelineModel.load(path)
 
 
-# --- L1 path -------------------------------------------------------------------------------------
+# --- L1 search -----------------------------------------------------------------------------------
 
 
-def second_moments(train: DataFrame, columns: Sequence[str]) -> tuple[np.ndarray, np.ndarray]:
-    """Means and population covariance of inputs and target.
+@dataclass(frozen=True)
+class Search:
+    """What an L1 search found: the best alpha, one row per alpha, and all models in the order of the grid."""
 
-    Two JVM aggregates; what reaches the driver is one square of the column count.
-    """
-    both = VectorAssembler(inputCols=[*columns, TARGET], outputCol="_all", handleInvalid="skip")
-    rows = both.transform(train).select("_all")
-    stats = rows.select(
-        Summarizer.metrics("count", "mean", "std").summary(F.col("_all")).alias("s")
-    ).first()["s"]
-    correlation = Correlation.corr(rows, "_all").first()[0].toArray()
-    # A constant column correlates with nothing.
-    correlation = np.where(np.isfinite(correlation), correlation, 0.0)
-    std = stats["std"].toArray()
-    n = stats["count"]
-    return stats["mean"].toArray(), correlation * np.outer(std, std) * (n - 1) / n
-
-
-def _descend(c: np.ndarray, target: np.ndarray, alpha: float, w: np.ndarray, tol: float, rounds: int):
-    """Coordinate descent on a covariance matrix, from ``w``."""
-    w = w.copy()
-    slope = c @ w
-    scale = np.diag(c)
-    live = np.flatnonzero(scale > 0)
-    for _ in range(rounds):
-        largest = 0.0
-        for j in live:
-            pull = target[j] - slope[j] + scale[j] * w[j]
-            new = np.sign(pull) * max(abs(pull) - alpha, 0.0) / scale[j]
-            step = new - w[j]
-            if step != 0.0:
-                slope += c[:, j] * step
-                w[j] = new
-                largest = max(largest, abs(step) * np.sqrt(scale[j]))
-        if largest < tol:
-            return w
-    raise RuntimeError(f"no convergence in {rounds} rounds at alpha {alpha}: last step {largest}")
-
-
-def lasso_path(
-    train: DataFrame,
-    columns: Sequence[str],
-    alphas: Sequence[float] = tuple(LASSO_ALPHA_GRID),
-    tol: float = 1e-8,
-    rounds: int = 5_000,
-) -> list[tuple[float, float, np.ndarray]]:
-    """(alpha, intercept, coefficients) for every alpha from one reading of the training rows.
+    alpha: float
+    results: DataFrame
+    models: list[Model]
 
-    All fits share the same second moments, so only the small matrix is solved again.
-    """
-    mean, cov = second_moments(train, columns)
-    c, target = cov[:-1, :-1], cov[:-1, -1]
-    w = np.zeros(len(columns))
-    found = {}
-    for alpha in sorted(alphas, reverse=True):
-        w = _descend(c, target, alpha, w, tol, rounds)
-        found[alpha] = (alpha, float(mean[-1] - mean[:-1] @ w), w)
-    return [found[a] for a in alphas]
-
-
-def score_path(
-    validation: DataFrame, columns: Sequence[str], path: list[tuple[float, float, np.ndarray]]
-) -> DataFrame:
-    """Validation MAE in counts for every alpha, in one scan.
+    @property
+    def best(self) -> Model:
+        return next(m for m in self.models if m.getRegParam() == self.alpha)
 
-    A task multiplies its batches by all coefficient vectors and emits one row of sums per batch.
-    """
-    weights = np.column_stack([w for _, _, w in path])
-    intercepts = np.array([b for _, b, _ in path])
-    names = list(columns)
-
-    def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            if not len(batch):
-                continue
-            raw = batch[names].to_numpy(dtype=float) @ weights + intercepts
-            error = np.abs(np.maximum(np.expm1(raw), 0.0) - np.expm1(batch[[TARGET]].to_numpy()))
-            yield pd.DataFrame(
-                {
-                    "position": np.arange(error.shape[1]),
-                    "error": error.sum(axis=0),
-                    "n": np.full(error.shape[1], len(batch)),
-                }
-            )
-
-    sums = validation.select(*names, TARGET).na.drop().mapInPandas(
-        score, "position int, error double, n long"
-    )
-    known = validation.sparkSession.createDataFrame(
-        [(i, a, int(np.count_nonzero(w))) for i, (a, _, w) in enumerate(path)],
-        "position int, alpha double, n_nonzero_coefs int",
-    )
-    return (
-        sums.groupBy("position")
-        .agg((F.sum("error") / F.sum("n")).alias("validation_mae"))
-        .join(F.broadcast(known), "position")  # one row per alpha of the grid
-        .select("alpha", "validation_mae", "n_nonzero_coefs")
-    )
 
-
-def best_alpha(results: DataFrame) -> float:
-    """Lowest error; the smallest alpha on a tie, i.e. the first of an ascending grid."""
-    return results.orderBy("validation_mae", "alpha").first()["alpha"]
+def fit_grid(vectors: DataFrame, alphas: Sequence[float], parallelism: int = PARALLEL_FITS) -> list[Model]:
+    """One L1 model per alpha over the same stored vectors, several at a time."""
+    estimator = _linear(elasticNetParam=1.0, maxIter=10_000, tol=1e-9)
+    fits = estimator.fitMultiple(vectors, ParamGridBuilder().addGrid(estimator.regParam, list(alphas)).build())
+    found: dict[int, Model] = {}
+    with ThreadPool(min(parallelism, len(alphas))) as pool:
+        step = inheritable_thread_target(vectors.sparkSession)(lambda _: next(fits))
+        for position, model in pool.imap_unordered(step, range(len(alphas))):
+            found[position] = model
+    return [found[i] for i in range(len(alphas))]
 
 
 def tune_lasso(
-    train: DataFrame,
+    fit: DataFrame,
     validation: DataFrame,
     columns: Sequence[str],
     alphas: Sequence[float] = tuple(LASSO_ALPHA_GRID),
-) -> tuple[float, DataFrame]:
-    results = stage(score_path(validation, columns, lasso_path(train, columns, alphas)), "lasso-path")
-    return best_alpha(results), results
+    scaled: Sequence[str] = (),
+) -> Search:
+    """The alpha with the lowest error in counts on the validation rows; the smallest on a tie.
+
+    The scaler comes from the fitting rows. All models score the validation rows in one job.
+    """
+    prepare = PipelineModel(_inputs(fit, columns, scaled))
+    vectors = stage(prepare.transform(fit).select("features", TARGET), "lasso-fit")
+    found = fit_grid(vectors, alphas)
+    names = [f"_p{i}" for i in range(len(found))]
+    scored = prepare.transform(validation).select("features", TARGET)
+    for model, name in zip(found, names):
+        scored = model.copy({model.predictionCol: name}).transform(scored)
+    errors = CountError().errors(scored, names)
+    if None in errors:
+        raise ValueError("no validation rows")
+    rows = [(float(a), e, int(m.coefficients.numNonzeros())) for a, e, m in zip(alphas, errors, found)]
+    results = fit.sparkSession.createDataFrame(rows, "alpha double, validation_mae double, n_nonzero_coefs int")
+    return Search(min(rows, key=lambda r: (r[1], r[0]))[0], results, found)
+
+
+# --- the models of a study -----------------------------------------------------------------------
+
+
+@dataclass(frozen=True)
+class Periods:
+    """Where the validation part of the training period starts, and where that period ends."""
+
+    validation_start: str = S.VALIDATION_START
+    train_end: str = S.TRAIN_END
+
+
+def fit_tuned_lasso(table: DataFrame, columns: Sequence[str], periods: Periods) -> PipelineModel:
+    """Alpha from the tail of the training period, then a fit on all of it with a scaler of all of it."""
+    scaled = [c for c in columns if c in CONTINUOUS_COLUMNS]
+    parts = split_train_validation(table, periods.validation_start, periods.train_end)
+    alpha = tune_lasso(*parts, columns, scaled=scaled).alpha
+    return fit_demand(table, columns, lambda vectors: fit_lasso(vectors, alpha), scaled)
+
+
+@dataclass(frozen=True)
+class ModelSpec:
+    feature_set: str
+    fit: Callable[[DataFrame, Sequence[str], Periods], PipelineModel]
+
+
+def _untuned(fit: Callable[[DataFrame], Model]) -> Callable[[DataFrame, Sequence[str], Periods], PipelineModel]:
+    return lambda table, columns, periods: fit_demand(table, columns, fit)
+
+
+REGISTRY: dict[str, ModelSpec] = {
+    "linear_regression": ModelSpec("linear", _untuned(fit_ols)),
+    "ridge": ModelSpec("linear", _untuned(fit_ridge)),
+    "gradient_boosting": ModelSpec("gradient_boosting", _untuned(fit_boosting)),
+    "lasso": ModelSpec("linear", fit_tuned_lasso),
+}
 
 
 # --- comparison ----------------------------------------------------------------------------------
@@ -229,20 +287,15 @@ def evaluation_frame(
 ) -> DataFrame:
     """Actual demand, context and ``pred_<model>`` for every test row.
 
-    All models run over the same rows: each feature set is one more vector on the frame, so nothing
-    is joined back. An input that is NULL in either set is an error, which is what keeps the row sets
-    equal.
+    All models run over the same rows: their feature sets are columns of one table, so nothing is joined back. An input
+    that is NULL in either set is an error, which is what keeps the row sets equal.
     """
     sets = feature_sets or {name: REGISTRY[name].feature_set for name in models}
-    needed = sorted(set(sets.values()))
     context = test.select("*", F.struct(*EVALUATION_CONTEXT).alias("_context"))
-    out = feature_table(context, needed, domains, groups, carry=["_context"])
+    out = feature_table(context, sorted(set(sets.values())), domains, groups, carry=["_context"])
     out = out.withColumn("actual", F.expm1(TARGET))
-    for name in needed:
-        out = assemble(out, feature_columns(name, domains), f"_vector_{name}", invalid="error")
     for name, model in models.items():
-        out = out.withColumn("features", F.col(f"_vector_{sets[name]}"))
-        out = predict_demand(model, out, f"pred_{name}").drop("features")
+        out = predict_demand(model, out, f"pred_{name}")
     return out.select("_context.*", "actual", *[f"pred_{name}" for name in models])
 
 

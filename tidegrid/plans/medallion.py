@@ -162,19 +162,14 @@ def fit_all(
     registry = registry or models.REGISTRY
     domains = domains_for(zones, layout.kinds)
     train, _ = features.split_train_test(load_processed(spark, layout), layout.train_end)
+    periods = models.Periods(layout.validation_start, layout.train_end)
     stored: dict[str, DataFrame] = {}
     fitted = {}
     for name, spec in registry.items():
         if spec.feature_set not in stored:
-            table = features.feature_table(
-                train, spec.feature_set, domains, dimensions.place_groups(zones)
-            )
-            columns = features.feature_columns(spec.feature_set, domains)
-            stored[spec.feature_set] = stage(
-                features.assemble(table, columns).select("features", features.TARGET),
-                f"train-{spec.feature_set}",
-            )
-        fitted[name] = spec.fit(stored[spec.feature_set])
+            table = features.feature_table(train, spec.feature_set, domains, dimensions.place_groups(zones))
+            stored[spec.feature_set] = stage(table, f"train-{spec.feature_set}")
+        fitted[name] = spec.fit(stored[spec.feature_set], features.feature_columns(spec.feature_set, domains), periods)
         models.save_model(fitted[name], layout.path("models", name))
     return fitted
 
