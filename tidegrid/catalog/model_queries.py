@@ -136,15 +136,21 @@ def scaled_features(spark, sf_dir):
 
 # --- models: one input, where least squares has a closed form in SQL -----------------------------------
 
-_ONE_INPUT_SQL = (
-    _SOURCE_SQL
-    + f""",
+
+
+def _moments_sql(end: str) -> str:
+    return (
+        _SOURCE_SQL
+        + f""",
 xy AS (SELECT *, ln(1 + baseline_pickup_count) AS x, ln(1 + pickup_count) AS y FROM source),
 moments AS (
   SELECT avg(x) AS mx, avg(y) AS my, sum(x * x) - count(*) * avg(x) * avg(x) AS sxx,
     sum(x * y) - count(*) * avg(x) * avg(y) AS sxy, count(*) AS n
-  FROM xy WHERE pickup_hour < TIMESTAMP '{t.HOUR_TRAIN_END}')"""
-)
+  FROM xy WHERE pickup_hour < TIMESTAMP '{end}')"""
+    )
+
+
+_ONE_INPUT_SQL = _moments_sql(t.HOUR_TRAIN_END)
 
 
 def _one_input_sql(slope: str) -> str:
@@ -211,12 +217,12 @@ def lasso_retained(spark, sf_dir):
 ALPHAS_SQL = "SELECT CAST(unnest(range(25)) AS INT) AS i"
 
 
-@query(f"""WITH {_ONE_INPUT_SQL.replace("pickup_hour < TIMESTAMP '" + t.HOUR_TRAIN_END + "'", "pickup_hour < TIMESTAMP '" + t.HOUR_VALIDATION_START + "'")},
+@query(f"""WITH {_moments_sql(t.HOUR_VALIDATION_START)},
 spread AS (SELECT stddev_pop(x) AS sx FROM xy WHERE pickup_hour < TIMESTAMP '{t.HOUR_VALIDATION_START}'),
-grid AS ({ALPHAS_SQL}),
+alphas AS ({ALPHAS_SQL}),
 path AS (
   SELECT i, power(10, -5 + i / 4.0) AS alpha, mx, my, sx, greatest(sxy / n / sx - power(10, -5 + i / 4.0), 0) AS w
-  FROM moments CROSS JOIN spread CROSS JOIN grid)
+  FROM moments CROSS JOIN spread CROSS JOIN alphas)
 SELECT i AS position, {t.rnd_sql('avg(abs(greatest(exp(my + w * (x - mx) / sx) - 1, 0) - (exp(y) - 1)))', 5)} AS validation_mae,
   CAST(max(CASE WHEN w > 0 THEN 1 ELSE 0 END) AS INT) AS n_nonzero_coefs
 FROM xy CROSS JOIN path
