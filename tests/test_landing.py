@@ -104,8 +104,34 @@ def test_files_of_one_layout_share_a_scan(spark, tmp_path):
     folder = _landing(spark, tmp_path)
     same = spark.read.parquet(str(folder / "Yellow Taxi Data Jan 2024.parquet")).toPandas()
     same.to_parquet(folder / "Yellow Taxi Data Mar 2024.parquet", coerce_timestamps="us")
-    bundles = landing.schema_bundles(spark, landing.list_files(spark, str(folder)))
-    assert sorted(len(paths) for _, paths in bundles) == [1, 2]
+    bundles = landing.layouts(spark, "yellow", str(folder))
+    assert sorted(len(b.paths) for b in bundles) == [1, 2]
+
+
+def test_jobs_do_not_grow_with_the_files(spark, tmp_path):
+    """Footers of one file or thirty: the same jobs; files that Spark wrote and files of others have layouts of their own."""
+    def jobs(folder):
+        before = len(spark.sparkContext.statusTracker().getJobIdsForGroup("layouts"))
+        spark.sparkContext.setJobGroup("layouts", "layouts")
+        found = landing.layouts(spark, "yellow", str(folder))
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        return found, len(spark.sparkContext.statusTracker().getJobIdsForGroup("layouts")) - before
+
+    one, many = tmp_path / "one", tmp_path / "many"
+    table = spark.createDataFrame([(1, 2.0)], "VendorID long, passenger_count double").toPandas()
+    for folder, years in ((one, range(2020, 2021)), (many, range(1990, 2020))):
+        folder.mkdir()
+        for year in years:
+            table.to_parquet(folder / f"Yellow Taxi Data Jan {year}.parquet")
+    (few, a), (lots, b) = jobs(one), jobs(many)
+    assert [len(x.paths) for x in few] == [1] and [len(x.paths) for x in lots] == [30] and a == b
+
+
+def test_wrong_name_in_the_folder_raises(spark, tmp_path):
+    folder = _landing(spark, tmp_path)
+    spark.createDataFrame([(1,)], "VendorID long").toPandas().to_parquet(folder / "Yellow Taxi Data Foo 2024.parquet")
+    with pytest.raises(ValueError, match="Foo"):
+        landing.read_landing(spark, "yellow", str(folder))
 
 
 def test_ingest_log_and_rerun(spark, tmp_path):

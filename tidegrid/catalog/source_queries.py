@@ -100,8 +100,9 @@ FROM raw GROUP BY ALL"""
 )
 def ingest_log(spark, sf_dir):
     folder = landing_folder(spark, sf_dir)
-    raw = landing.read_landing(spark, "yellow", folder, "now")
-    log = landing.ingest_log(landing.landing_profile(spark, "yellow", folder), raw, "yellow")
+    found = landing.layouts(spark, "yellow", folder)
+    raw = landing.read_landing(spark, "yellow", folder, "now", found)
+    log = landing.ingest_log(landing.landing_profile(spark, "yellow", folder, found), raw, "yellow")
     return log.select(
         "taxi_type", "source_file", "year", "month", "landing_row_count", "raw_row_count",
         "landing_column_count", "raw_column_count", "status",
@@ -115,8 +116,9 @@ SELECT k AS taxi_type, count(*) AS landing_rows, count(*) AS raw_rows, 6 AS min_
 )
 def ingest_totals(spark, sf_dir):
     folder = landing_folder(spark, sf_dir)
-    raw = landing.read_landing(spark, "yellow", folder, "now")
-    log = landing.ingest_log(landing.landing_profile(spark, "yellow", folder), raw, "yellow")
+    found = landing.layouts(spark, "yellow", folder)
+    raw = landing.read_landing(spark, "yellow", folder, "now", found)
+    log = landing.ingest_log(landing.landing_profile(spark, "yellow", folder, found), raw, "yellow")
     return landing.ingest_totals(log)
 
 

@@ -39,9 +39,10 @@ def ingest(spark: SparkSession, layout: Layout, stamp: str | None = None) -> Dat
     logs = []
     for kind in layout.kinds:
         folder = layout.path("landing", kind)
-        tables.write_raw(landing.read_landing(spark, kind, folder, stamp), raw_path)
+        found = landing.layouts(spark, kind, folder)
+        tables.write_raw(landing.read_landing(spark, kind, folder, stamp, found), raw_path)
         written = load_raw(spark, layout, kind)
-        logs.append(landing.ingest_log(landing.landing_profile(spark, kind, folder), written, kind))
+        logs.append(landing.ingest_log(landing.landing_profile(spark, kind, folder, found), written, kind))
     log = stage(reports.stack_reports(*logs), "ingest-log")
     reports.write_report(log, layout.path("reports", "ingest_log"), "json")
     reports.write_report(landing.ingest_totals(log), layout.path("reports", "ingest_totals"), "csv")

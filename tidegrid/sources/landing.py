@@ -3,10 +3,16 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
 from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass
 from datetime import datetime, timezone
 from functools import reduce
+from urllib.parse import quote
 
+import pyarrow as pa
+import pyarrow.fs as pafs
+import pyarrow.parquet as pq
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -82,37 +88,78 @@ def with_provenance(
     )
 
 
-def list_files(spark: SparkSession, folder: str, glob: str = "*.parquet") -> list[str]:
-    """Paths under ``folder`` as Spark's own file listing sees them (no content is read)."""
+def list_files(spark: SparkSession, folder: str, glob: str = "*.parquet") -> DataFrame:
+    """(path) of every file under ``folder`` as Spark's own listing sees it; no content is read."""
     listing = (
         spark.read.format("binaryFile")
         .option("pathGlobFilter", glob)
         .option("recursiveFileLookup", True)
         .load(folder)
     )
-    return sorted(r.path for r in listing.select("path").collect())
+    return listing.select("path")
 
 
-def schema_bundles(spark: SparkSession, paths: list[str]) -> list[tuple[T.StructType, list[str]]]:
-    """Group files by identical schema, so the plan has one scan per layout and not per file."""
-    with ThreadPoolExecutor(16) as pool:
-        found = list(pool.map(lambda p: spark.read.parquet(p).schema, paths))
-    bundles: dict[str, tuple[T.StructType, list[str]]] = {}
-    for path, schema in zip(paths, found):
-        bundles.setdefault(schema.json(), (schema, []))[1].append(path)
-    return list(bundles.values())
+def _footer(path: str) -> str:
+    """Column names and types in the footer of one file, and the types Spark wrote there if it made the file."""
+    scheme, _, rest = path.partition(":")
+    if not rest or scheme == "file":
+        system, place = pafs.LocalFileSystem(), "/" + (rest or path).lstrip("/")
+    else:
+        # Object stores have other scheme names in Arrow than in Hadoop.
+        named = {"s3a": "s3", "s3n": "s3"}.get(scheme, scheme)
+        system, place = pafs.FileSystem.from_uri(f"{named}:{quote(rest)}")
+    schema = pq.read_schema(place, filesystem=system)
+    written = (schema.metadata or {}).get(b"org.apache.spark.sql.parquet.row.metadata", b"")
+    return f"{schema.remove_metadata()}\n{written.decode()}"
 
 
-def read_landing(spark: SparkSession, kind: str, folder: str, stamp: str | None = None) -> DataFrame:
+def footers(files: DataFrame) -> DataFrame:
+    """(path, layout) of each file; tasks open the footers."""
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            paths = batch.column("path").to_pylist()
+            with ThreadPoolExecutor(8) as pool:
+                yield pa.RecordBatch.from_arrays([pa.array(paths), pa.array(list(pool.map(_footer, paths)), pa.string())], ["path", "layout"])
+
+    return files.mapInArrow(task, "path string, layout string")
+
+
+@dataclass(frozen=True)
+class Bundle:
+    """Files of one layout."""
+
+    schema: T.StructType
+    paths: list[str]
+
+
+def layouts(spark: SparkSession, kind: str, folder: str) -> list[Bundle]:
+    """Month files of ``kind`` by layout, so the plan has one scan per layout and not per file.
+
+    One job lists the files, reads all footers and groups them. The driver opens one file per layout; of the others it gets
+    the paths, which Spark's scan holds there in any case. A file of another name is an error.
+    """
+    name = F.regexp_extract("path", "[^/]*$", 0)
+    month = F.lower(F.regexp_extract(name, S.FILE_PATTERNS[kind], 1))
+    wrong = F.min(F.when(~month.isin([m.lower() for m in S.MONTH_WORDS]), name))
+    groups = footers(list_files(spark, folder)).groupBy("layout").agg(F.sort_array(F.collect_list("path")).alias("paths"), wrong.alias("wrong")).collect()
+    for group in groups:
+        if group.wrong is not None:
+            raise ValueError(f"not a {kind} month file: {group.wrong!r}")
+    return [Bundle(spark.read.parquet(g.paths[0]).schema, g.paths) for g in sorted(groups, key=lambda g: g.paths[0])]
+
+
+def read_landing(
+    spark: SparkSession, kind: str, folder: str, stamp: str | None = None, found: list[Bundle] | None = None
+) -> DataFrame:
     """Every month file of ``kind`` as one raw-layout table with provenance.
 
-    Types may differ between months, so each layout is cast on its own before the union.
+    Types may differ between months, so each layout is cast on its own before the union. ``found`` are the
+    ``layouts`` of the folder, if they are known already.
     """
     stamp = stamp or datetime.now(timezone.utc).isoformat()
-    paths = list_files(spark, folder)
-    for path in paths:
-        parse_file_name(kind, path.rsplit("/", 1)[-1])
-    if not paths:
+    found = layouts(spark, kind, folder) if found is None else found
+    if not found:
         return with_provenance(
             spark.createDataFrame([], S.RAW_SCHEMAS[kind]),
             kind,
@@ -122,8 +169,8 @@ def read_landing(spark: SparkSession, kind: str, folder: str, stamp: str | None
             stamp,
         )
     parts = []
-    for schema, group in schema_bundles(spark, paths):
-        scan = spark.read.schema(schema).parquet(*group)
+    for bundle in found:
+        scan = spark.read.schema(bundle.schema).parquet(*bundle.paths)
         name = file_name()
         year, month = period_columns(kind, name)
         tagged = scan.select(
@@ -152,11 +199,12 @@ def profile_table(df: DataFrame, by: list[str] | None = None, columns: list[str]
     )
 
 
-def landing_profile(spark: SparkSession, kind: str, folder: str) -> DataFrame:
+def landing_profile(spark: SparkSession, kind: str, folder: str, found: list[Bundle] | None = None) -> DataFrame:
     """One row per landing file: row count, column count, total NULLs (columns of that file)."""
     parts = []
-    for schema, group in schema_bundles(spark, list_files(spark, folder)):
-        scan = spark.read.schema(schema).parquet(*group)
+    for bundle in layouts(spark, kind, folder) if found is None else found:
+        schema = bundle.schema
+        scan = spark.read.schema(schema).parquet(*bundle.paths)
         parts.append(
             scan.groupBy(file_name().alias("source_file")).agg(
                 F.count(F.lit(1)).alias("landing_row_count"),
