@@ -61,3 +61,23 @@ def test_tables(spark):
     result = line_dedup.strip(docs, 10, counts=True).select("doc_id", "text", "n_lines", "n_removed").collect()
     assert sorted(map(tuple, result), key=str) == want
     assert sum(w[3] for w in want) > 100
+
+
+def test_columns_of_the_same_names(spark):
+    docs = spark.createDataFrame([(i, f"menu\nown {i}", f"s{i}", 7, 8, "lost") for i in range(4)], "doc_id long, text string, source string, n_lines int, n_removed int, lost string")
+    result = line_dedup.strip(docs, 3, counts=True)
+    assert result.columns == ["doc_id", "text", "source", "lost", "n_lines", "n_removed"]
+    assert sorted((r.doc_id, r.text, r.n_lines, r.n_removed, r.lost) for r in result.collect()) == [(0, "menu\nown 0", 2, 0, "lost"), *((i, f"own {i}", 2, 1, "lost") for i in (1, 2, 3))]
+    assert line_dedup.strip(docs, 3).columns == docs.columns
+
+
+def test_many_shared_lines(spark):
+    """The work grows with the lines of a document and not with their square."""
+    import time
+
+    text = "\n".join(f"line {k}" for k in range(20_000))
+    docs = spark.createDataFrame([(i, text, "en", f"s{i}", 1, "x", 2) for i in range(12)], SCHEMA)
+    started = time.time()
+    lengths = {r.doc_id: len(r.text) for r in line_dedup.strip(docs, 10).collect()}
+    assert lengths == {0: len(text), **{i: 0 for i in range(1, 12)}}
+    assert time.time() - started < 30

@@ -257,6 +257,8 @@ def pair_counts(pairs: DataFrame) -> DataFrame:
 
 def digests(docs: DataFrame, definition: str, model: bytes) -> DataFrame:
     """Numbers of tokens, groups and links per row, what the counts of its links say, and a digest of its groups."""
+    # A row is a block, so a batch for Python is bounded by bytes.
+    docs.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", "8m")
     blocks = stage(align(docs, definition, model), "aligned")
     pairs = stage(block_pairs(blocks), "pairs")
     counts = stage(pair_counts(pairs), "pair_counts")

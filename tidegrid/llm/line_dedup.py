@@ -6,7 +6,7 @@ sketch per task. Lines whose estimate is within ``BAND`` of the threshold get an
 beyond the band are further off than the sketch can err. A line on ``SITES`` sites or more is boilerplate: it
 stays at its first place in the document with the smallest id that has it, and is removed everywhere else.
 
-DataFrame functions only. Lines travel as hashes; texts are joined once with the hashes that each document loses.
+DataFrame functions only. Lines travel as hashes; texts are joined once with the places that each document loses.
 
 Defined cases: a null text stays null; null sites are not counted; a document without lines left has an empty text
 and stays; rows without id lose their boilerplate, and a line that only they have is kept nowhere; rows that
@@ -15,8 +15,6 @@ repeat an id are treated alike; an empty table gives an empty result; other colu
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -39,10 +37,9 @@ def _hash(line: Column, over: int = 0) -> Column:
     return F.when(wanted, F.struct(F.xxhash64(key).alias("x"), F.hash(key).alias("m")))
 
 
-def _row_key(whole: bool = False) -> list[Column]:
-    """What names a row: its id, or its text's hash if it has none; both if ``whole``."""
-    text = F.xxhash64("text")
-    return [F.col("doc_id").alias("key_id"), (text if whole else F.when(F.col("doc_id").isNull(), text)).alias("key_text")]
+def _row_key() -> list[Column]:
+    """What names a row: its id and its text's hash."""
+    return [F.col("doc_id").alias("key_id"), F.xxhash64("text").alias("key_text")]
 
 
 def boilerplate(lines: DataFrame, sites: int = SITES, sketch: int = SKETCH, band: float = BAND) -> DataFrame:
@@ -63,11 +60,11 @@ def boilerplate(lines: DataFrame, sites: int = SITES, sketch: int = SKETCH, band
 
 
 def strip(docs: DataFrame, sites: int = SITES, site: str = "source", counts: bool = False) -> DataFrame:
-    """``docs`` without boilerplate lines in ``text``; ``counts`` adds n_lines and n_removed."""
-    parted = docs.select(*_row_key(), "doc_id", F.col(site).cast("string").alias("site"), F.explode(F.split("text", "\n", -1)).alias("line"))
-    lines = parted.select("key_id", "key_text", "doc_id", "site", _hash(F.col("line")).alias("line")).where("line IS NOT NULL")
+    """``docs`` without boilerplate lines in ``text``; ``counts`` adds n_lines and n_removed, in place of columns of these names."""
+    parted = docs.select(*_row_key(), "doc_id", F.col(site).cast("string").alias("site"), F.posexplode(F.split("text", "\n", -1)).alias("pos", "line"))
+    lines = parted.select("key_id", "key_text", "doc_id", "site", "pos", _hash(F.col("line")).alias("line")).where("line IS NOT NULL")
     common = stage(boilerplate(lines, sites), "boilerplate")
-    return _without(docs, lines, common, F.coalesce(F.col("key_id") == F.col("first"), F.lit(False)), _row_key(), _hash, counts)
+    return _without(docs, lines, common, F.coalesce(F.col("key_id") == F.col("first"), F.lit(False)), counts)
 
 
 def strip_passages(docs: DataFrame, words: int = PASSAGE_WORDS) -> DataFrame:
@@ -76,48 +73,36 @@ def strip_passages(docs: DataFrame, words: int = PASSAGE_WORDS) -> DataFrame:
     It is enough that two rows have the line, on whatever sites. The first row is that of the smallest id, of equal ids
     that of the smallest text hash; rows without id come last. Only whole lines count.
     """
-    key = _row_key(whole=True)
-
-    def long_line(line: Column) -> Column:
-        return _hash(line, words)
-
-    parted = docs.select(*key, F.explode(F.split("text", "\n", -1)).alias("line"))
-    lines = parted.select("key_id", "key_text", long_line(F.col("line")).alias("line")).where("line IS NOT NULL")
+    parted = docs.select(*_row_key(), F.posexplode(F.split("text", "\n", -1)).alias("pos", "line"))
+    lines = parted.select("key_id", "key_text", "pos", _hash(F.col("line"), words).alias("line")).where("line IS NOT NULL")
     place = F.struct(F.col("key_id").isNull().alias("no_id"), "key_id", "key_text")
     common = lines.groupBy("line").agg(F.min(place).alias("first"), F.max(place).alias("last")).where("NOT first <=> last").select("line", "first")
-    return _without(docs, lines, stage(common, "passages"), place.eqNullSafe(F.col("first")), key, long_line, False)
-
-
-def _without(
-    docs: DataFrame, lines: DataFrame, common: DataFrame, is_first: Column, row_key: list[Column], hash_of: Callable[[Column], Column], counts: bool
-) -> DataFrame:
-    """``docs`` without the lines in ``common``, but for their first place in the rows where ``is_first`` holds."""
-    names = docs.columns
-    # A document loses each line once or wholly; what it has of them is at most its own lines.
-    kept = is_first.alias("kept")
-    own = (
-        lines.select("key_id", "key_text", "line").join(common, "line").select("key_id", "key_text", F.struct("line", kept).alias("line"))
-        .groupBy("key_id", "key_text").agg(F.collect_set("line").alias("lost"))
-    )
-    row = F.struct(*(F.col(f"`{name}`") for name in names)).alias("row")
-    joined = docs.select(*row_key, row).alias("d").join(
+    return _without(docs, lines, stage(common, "passages"), place.eqNullSafe(F.col("first")), False)
+
+
+def _without(docs: DataFrame, lines: DataFrame, common: DataFrame, is_first: Column, counts: bool) -> DataFrame:
+    """``docs`` without the lines in ``common``, but for their first place in the rows where ``is_first`` holds.
+
+    ``lines`` has the place of each line. A row gets the places that it loses, and keeps the others in one step, so the
+    work grows with its lines.
+    """
+    key = ["key_id", "key_text"]
+    places = F.array_sort(F.collect_set("pos"))
+    found = lines.select(*key, "pos", "line").join(common, "line").select(*key, "pos", "line", is_first.alias("kept"))
+    # Rows that are equal have the same places.
+    per_line = found.groupBy(*key, "line", "kept").agg(places.alias("at"))
+    lost = F.when(F.col("kept"), F.slice("at", F.lit(2), F.size("at"))).otherwise(F.col("at"))
+    own = per_line.select(*key, F.explode(lost).alias("pos")).groupBy(*key).agg(F.collect_list("pos").alias("lost"))
+    row = F.struct(*(F.col(f"`{name}`") for name in docs.columns)).alias("row")
+    joined = docs.select(*_row_key(), row).alias("d").join(
         own.alias("o"), F.col("d.key_id").eqNullSafe(F.col("o.key_id")) & F.col("d.key_text").eqNullSafe(F.col("o.key_text")), "left"
     ).select("row", "lost", F.split("row.text", "\n", -1).alias("lines"))
-    hashed = joined.withColumn("hashes", F.when(F.col("lost").isNotNull(), F.transform("lines", lambda line: hash_of(line))))
-    gone = F.transform(F.filter("lost", lambda x: ~x["kept"]), lambda x: x["line"])
-    once = F.transform(F.filter("lost", lambda x: x["kept"]), lambda x: x["line"])
-    sorted_out = hashed.withColumn("gone", gone).withColumn("once", once)
-
-    def stays(line: Column, at: Column) -> Column:
-        own_hash = F.get("hashes", at)
-        first = F.array_position("hashes", own_hash) == at + 1
-        return own_hash.isNull() | ~(F.array_contains("gone", own_hash) | (F.array_contains("once", own_hash) & ~first))
-
-    left = sorted_out.withColumn("left", F.when(F.col("lost").isNull(), F.col("lines")).otherwise(F.filter("lines", stays)))
-    text = F.when(F.col("lost").isNull(), F.col("row.text")).otherwise(F.array_join("left", "\n"))
-    done = left.select("row", "lines", "left", text.alias("text"))
-    columns = [F.col("text") if name == "text" else F.col(f"row.`{name}`").alias(name) for name in names]
+    stays = F.array_except(F.sequence(F.lit(0), F.size("lines") - 1), "lost")
+    left = F.array_join(F.transform(stays, lambda at: F.get("lines", at)), "\n")
+    text = F.when(F.col("lost").isNull(), F.col("row.text")).otherwise(left)
+    added = {}
     if counts:
-        n_lines = F.coalesce(F.size("lines"), F.lit(0)).cast("long")
-        columns += [n_lines.alias("n_lines"), (n_lines - F.coalesce(F.size("left"), F.lit(0))).cast("long").alias("n_removed")]
-    return done.select(columns)
+        added["n_lines"] = F.coalesce(F.size("lines"), F.lit(0)).cast("long")
+        added["n_removed"] = F.coalesce(F.size("lost"), F.lit(0)).cast("long")
+    columns = [text.alias("text") if name == "text" else F.col(f"row.`{name}`").alias(name) for name in docs.columns if name not in added]
+    return joined.select(*columns, *(column.alias(name) for name, column in added.items()))
