@@ -45,10 +45,10 @@ BITS = 16
 BLOCK_BITS = 1 << 16
 SHARD_TOKENS = 4_000_000
 # Distinct pieces whose ids a worker remembers, twice; pieces that go to the library at once.
-KNOWN = 250_000
+KNOWN = 400_000
 CALL = 5_000
 MAGIC = b"WVM1"
-_SLICE = 2 << 20
+_SLICE = 6 << 20
 # 1 ASCII letter, 2 digit, 3 white space, 4 other sign, 0 part of a sign beyond ASCII.
 _CLASS = np.full(256, 4, np.uint8)
 _CLASS[65:91] = _CLASS[97:123] = 1
@@ -190,11 +190,19 @@ class _Encoder:
         self.known = Known(self._encoded, known)
 
     def _encoded(self, pieces: list[bytes]) -> list[bytes]:
-        found = []
-        for at in range(0, len(pieces), CALL):
-            texts = [p.decode() for p in pieces[at : at + CALL]]
-            found += [array("H", e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-        return found
+        # Small ASCII letters pass the definition's cutting and changing untouched, so they go to its merges at once.
+        merges, found = self.tokenizer.model.tokenize, {}
+        others = []
+        for piece in pieces:
+            if piece.isalpha() and piece.islower():
+                found[piece] = array("H", [token.id for token in merges(piece.decode())]).tobytes()
+            else:
+                others.append(piece)
+        for at in range(0, len(others), CALL):
+            part = others[at : at + CALL]
+            encoded = self.tokenizer.encode_batch_fast([p.decode() for p in part], add_special_tokens=False)
+            found.update(zip(part, (array("H", e.ids).tobytes() for e in encoded)))
+        return [found[piece] for piece in pieces]
 
     def encode(self, data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of some texts joined, and the number of ids of each."""
