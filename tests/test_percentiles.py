@@ -56,3 +56,55 @@ def test_ranks_of_a_hot_group_are_dealt_over_ranges(spark):
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
     assert len(sizes) == 4 and max(sizes) < 20_000 and sum(sizes) == 40_000
     assert wrong == 0
+
+
+@pytest.mark.parametrize("accuracy", [50, 10_000])
+def test_column_summaries_equal_numpy_per_group_and_column(spark, accuracy):
+    rng = np.random.default_rng(5)
+    n = 20_000
+    frame = {
+        "g": ["hot"] * 15_000 + ["small"] * 4_990 + ["tiny"] * 9 + [None],
+        "wide": [None if i % 7 == 0 else float(v) for i, v in enumerate(np.round(rng.lognormal(0, 3, n), 3))],
+        "few": [int(v) for v in rng.integers(0, 4, n)],
+    }
+    df = spark.createDataFrame(list(zip(*frame.values())), "g string, wide double, few int").withColumn(
+        "empty", F.lit(None).cast("double")
+    ).repartition(5)
+    got = {(r.g, r.column_name): r for r in percentiles.column_summaries(df, ["wide", "few", "empty"], PROBS, ["g"], accuracy).collect()}
+    assert len(got) == 12
+    for g in ("hot", "small", "tiny", None):
+        rows = [i for i, v in enumerate(frame["g"]) if v == g]
+        for c in ("wide", "few"):
+            values = np.array([frame[c][i] for i in rows if frame[c][i] is not None], float)
+            r = got[g, c]
+            assert (r.n_rows, r["count"]) == (len(rows), len(values))
+            if len(values):
+                assert (r.min, r.max) == (values.min(), values.max()) and np.isclose(r.mean, values.mean())
+                assert np.allclose(r.percentiles, np.quantile(values, PROBS), rtol=1e-12, atol=0)
+            if len(values) > 1:
+                assert np.isclose(r.stddev, values.std(ddof=1))
+        assert got[g, "empty"]["count"] == 0 and got[g, "empty"].percentiles is None
+
+
+def test_column_summaries_without_groups_and_of_an_empty_table(spark):
+    df = spark.createDataFrame([(1.0, 2), (3.0, None), (None, 4)], "a double, b int")
+    got = {r.column_name: r for r in percentiles.column_summaries(df, ["a", "b"], [0.5]).collect()}
+    assert {c: (r.n_rows, r["count"], r.percentiles) for c, r in got.items()} == {"a": (3, 2, [2.0]), "b": (3, 2, [3.0])}
+    none = percentiles.column_summaries(df.limit(0), ["a", "b"], [0.5]).collect()
+    assert sorted((r.column_name, r["count"], r.min, r.percentiles) for r in none) == [("a", 0, None, None), ("b", 0, None, None)]
+    assert percentiles.column_summaries(df.limit(0), ["b"], [0.5], ["a"]).count() == 0
+
+
+def test_column_summaries_read_their_input_twice_and_never_multiply_rows(spark, tmp_path):
+    spark.range(5_000).select(F.sqrt("id").alias("a"), (F.col("id") % 3).alias("b"), F.log1p("id").alias("c")).write.parquet(str(tmp_path / "t"))
+    read = spark.sparkContext.accumulator(0)
+    seen = spark.read.parquet(str(tmp_path / "t"))
+
+    def counted(batches):
+        for batch in batches:
+            read.add(batch.num_rows)
+            yield batch
+
+    out = percentiles.column_summaries(seen.mapInArrow(counted, seen.schema), ["a", "b", "c"], PROBS, accuracy=100)
+    assert out.count() == 3
+    assert read.value == 10_000

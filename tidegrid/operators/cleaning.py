@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from ..functions.columns import duration_minutes, outlier_multiplier, percent, unknown_is_false
 from ..session import stage
 from ..sources import schemas as S
-from .percentiles import exact_percentiles
+from .percentiles import column_summaries
 from .rules import Rule
 
 DUPLICATE_RULE = "exact duplicate record"
@@ -262,32 +262,16 @@ def extreme_thresholds(
 ) -> DataFrame:
     """Per ``by``: Q3 + k * IQR of each column, k from the row count of the group.
 
-    Exact by default; with ``accuracy`` a mergeable sketch gives the quartiles in one pass.
+    Exact by default, in two reads; with ``accuracy`` a mergeable sketch gives the quartiles in one.
     """
-    counts = df.groupBy(by).agg(F.count(F.lit(1)).alias("n_rows"))
-    values = df.select(
-        by,
-        F.inline(
-            F.array(
-                *[
-                    F.struct(F.lit(c).alias("_column"), F.col(c).cast("double").alias("_value"))
-                    for c in columns
-                ]
-            )
-        ),
-    )
     if accuracy:
-        quartiles = values.groupBy(by, "_column").agg(
-            F.percentile_approx("_value", [0.25, 0.75], accuracy).alias("percentiles")
-        )
+        found = column_summaries(df, columns, [0.25, 0.75], [by], accuracy, exact=False)
     else:
-        quartiles = exact_percentiles(values, "_value", [0.25, 0.75], [by, "_column"])
+        found = column_summaries(df, columns, [0.25, 0.75], [by])
     q1, q3 = F.col("percentiles")[0], F.col("percentiles")[1]
     limit = q3 + outlier_multiplier(F.col("n_rows")) * (q3 - q1)
-    return (
-        counts.join(quartiles.select(by, "_column", "percentiles"), by, "left")
-        .groupBy(by, "n_rows")
-        .agg(*[F.max(F.when(F.col("_column") == c, limit)).alias(f"{c}_threshold") for c in columns])
+    return found.groupBy(by, "n_rows").agg(
+        *[F.max(F.when(F.col("column_name") == c, limit)).alias(f"{c}_threshold") for c in columns]
     )
 
 

@@ -43,21 +43,136 @@ def exact_percentiles(
     brackets = stage(_brackets(base, keys, probabilities, accuracy), "percentile-brackets")
     span = range(len(probabilities))
 
-    inside = reduce(lambda a, b: a | b, [F.col("_v").between(F.col(f"_lo{i}"), F.col(f"_hi{i}")) for i in span])
-    # Between brackets: the last bracket end before the value, NULL below all brackets.
-    ends = [F.when(F.col(f"_hi{i}") < F.col("_v"), F.col(f"_hi{i}")) for i in span]
-    before = F.greatest(*ends) if len(ends) > 1 else ends[0]
+    at, between = _place(F.col("_v"), [F.col(f"_lo{i}") for i in span], [F.col(f"_hi{i}") for i in span])
     counted = (
         base.join(brackets, _same(base, brackets, keys))
         .select(
             *[base[k] for k in keys],
             "n_obs",
-            F.when(inside, F.col("_v")).otherwise(before).alias("_at"),
-            (~inside).alias("_between"),
+            at.alias("_at"),
+            between.alias("_between"),
         )
         .groupBy(*keys, "n_obs", "_at", "_between")
         .agg(F.count(F.lit(1)).alias("_n"))
     )
+    return _pick(counted, keys, probabilities).select(*by, "n_obs", "percentiles")
+
+
+def column_summaries(
+    df: DataFrame,
+    columns: list[str],
+    probabilities: list[float],
+    by: list[str] | None = None,
+    accuracy: int = 10_000,
+    exact: bool = True,
+) -> DataFrame:
+    """Count, mean, deviation, range and percentiles of several columns in two reads of ``df``.
+
+    One row per group and column: ``by``, ``column_name``, ``n_rows`` (rows of the group), ``count``, ``mean``,
+    ``stddev``, ``min``, ``max`` and ``percentiles``. A column without values has count 0 and NULLs; without
+    ``by`` an empty table gives such a row per column.
+
+    The first read is one aggregate with a sketch per column. In the second a row becomes its place in every
+    column: the value inside a bracket, the end of the bracket before it otherwise. Rows with equal places
+    fold before the shuffle, and only what is left is unfolded by column; rows are never multiplied.
+    ``exact=False`` stops after the first read and takes the percentiles from the sketch.
+    """
+    by = by or []
+    keys = by or ["_all"]
+    values = [f"_v{i}" for i in range(len(columns))]
+    base = df.select(*by, *[F.col(c).cast("double").alias(v) for c, v in zip(columns, values)])
+    lows, highs = _widened(probabilities, accuracy)
+    wide = base.groupBy(*by).agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        *[
+            F.struct(
+                F.count(v).alias("count"), F.avg(v).alias("mean"), F.stddev_samp(v).alias("stddev"),
+                F.min(v).alias("min"), F.max(v).alias("max"),
+                F.percentile_approx(v, lows + highs if exact else probabilities, accuracy).alias("percentiles"),
+            ).alias(f"_of_{v}")
+            for v in values
+        ],
+    )
+    if not by:
+        wide = wide.withColumn("_all", F.lit(1))
+        base = base.withColumn("_all", F.lit(1))
+    if not exact:
+        return _by_column(wide, keys, columns, values).select(*by, *_SUMMARY, "percentiles")
+
+    wide = stage(wide, "column-summaries")
+    ends = []
+    for v in values:
+        of = F.col(f"_of_{v}")
+        low, high = _ends(of["count"], of["min"], of["max"], of["percentiles"], lows, highs, accuracy)
+        ends += [F.array(*low).alias(f"_lo{v}"), F.array(*high).alias(f"_hi{v}")]
+    placed = _join_by(base, wide.select(*keys, *ends), keys)
+    span = range(len(probabilities))
+    places = []
+    for v in values:
+        at, between = _place(
+            F.col(v), [F.col(f"_lo{v}")[i] for i in span], [F.col(f"_hi{v}")[i] for i in span]
+        )
+        places += [at.alias(f"_at{v}"), between.alias(f"_between{v}")]
+    folded = (
+        placed.select(*keys, *places)
+        .groupBy(*keys, *[f"{part}{v}" for v in values for part in ("_at", "_between")])
+        .agg(F.count(F.lit(1)).alias("_n"))
+    )
+    unfolded = folded.select(
+        *keys,
+        "_n",
+        F.inline(
+            F.array(
+                *[
+                    F.struct(
+                        F.lit(c).alias("column_name"), F.col(f"_at{v}").alias("_at"), F.col(f"_between{v}").alias("_between")
+                    )
+                    for c, v in zip(columns, values)
+                ]
+            )
+        ),
+    ).where(F.col("_between").isNotNull())
+    summaries = _by_column(wide, keys, columns, values)
+    column = [*keys, "column_name"]
+    counted = _join_by(
+        unfolded.groupBy(*column, "_at", "_between").agg(F.sum("_n").alias("_n")),
+        summaries.select(*column, F.col("count").alias("n_obs")),
+        column,
+    )
+    picked = _pick(counted, column, probabilities).drop("n_obs")
+    return _join_by(summaries.drop("percentiles"), picked, column, "left").select(*by, *_SUMMARY, "percentiles")
+
+
+_SUMMARY = ["column_name", "n_rows", "count", "mean", "stddev", "min", "max"]
+
+
+def _by_column(wide: DataFrame, keys: list[str], columns: list[str], values: list[str]) -> DataFrame:
+    """One row per group to one row per group and column."""
+    entries = [F.struct(F.lit(c).alias("column_name"), F.col(f"_of_{v}.*")) for c, v in zip(columns, values)]
+    return wide.select(*keys, "n_rows", F.inline(F.array(*entries)))
+
+
+def _join_by(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
+    """Join on equal keys, NULLs equal; the keys of ``left`` stay."""
+    names = [f"_right{i}" for i in range(len(keys))]
+    aside = right.select(*[F.col(k).alias(n) for k, n in zip(keys, names)], *[c for c in right.columns if c not in keys])
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(n)) for k, n in zip(keys, names)])
+    return left.join(aside, same, how).drop(*names)
+
+
+def _place(value: Column, lows: list[Column], highs: list[Column]) -> tuple[Column, Column]:
+    """Where a value lies: itself inside a bracket, else the last bracket end before it (NULL below all).
+
+    The second column is true between brackets and NULL for NULL.
+    """
+    inside = reduce(lambda a, b: a | b, [value.between(low, high) for low, high in zip(lows, highs)])
+    ends = [F.when(high < value, high) for high in highs]
+    before = F.greatest(*ends) if len(ends) > 1 else ends[0]
+    return F.when(inside, value).otherwise(before), ~inside
+
+
+def _pick(counted: DataFrame, keys: list[str], probabilities: list[float]) -> DataFrame:
+    """``keys``, ``n_obs`` and ``percentiles`` from counts of places (``_at``, ``_between``, ``_n``)."""
     ranked = _running(counted, keys)
 
     def at(rank: Column) -> Column:
@@ -74,7 +189,7 @@ def exact_percentiles(
     for i, rank in enumerate(ranks):
         low, high = F.col(f"_lower{i}"), F.col(f"_upper{i}")
         values.append(F.coalesce(low + (high - low) * (rank - F.floor(rank)), missed))
-    return picked.select(*by, "n_obs", F.array(*values).alias("percentiles"))
+    return picked.select(*keys, "n_obs", F.array(*values).alias("percentiles"))
 
 
 def _running(counted: DataFrame, keys: list[str]) -> DataFrame:
@@ -96,27 +211,43 @@ def _running(counted: DataFrame, keys: list[str]) -> DataFrame:
     return dealt.join(starts, same).select(*dealt.columns, (F.col("_start") + F.sum("_n").over(within)).alias("_to"))
 
 
+def _widened(probabilities: list[float], accuracy: int) -> tuple[list[float], list[float]]:
+    """Probabilities around each percentile that cover the error of the sketch."""
+    slack = 4.0 / accuracy
+    return [max(0.0, p - slack) for p in probabilities], [min(1.0, p + slack) for p in probabilities]
+
+
+def _ends(
+    n: Column, least: Column, most: Column, quantile: Column, lows: list[float], highs: list[float], accuracy: int
+) -> tuple[list[Column], list[Column]]:
+    """Both ends of every bracket, from a sketch of the probabilities ``lows`` and then ``highs``.
+
+    A small group is ranked whole: there the slack is less than a rank. In a larger one it covers the
+    error of the sketch and the neighbour that interpolation needs.
+    """
+    whole = n <= accuracy
+    return (
+        [F.when(whole | F.lit(p == 0.0), least).otherwise(quantile[i]) for i, p in enumerate(lows)],
+        [F.when(whole | F.lit(p == 1.0), most).otherwise(quantile[len(lows) + i]) for i, p in enumerate(highs)],
+    )
+
+
 def _brackets(base: DataFrame, keys: list[str], probabilities: list[float], accuracy: int) -> DataFrame:
     """One row per group: its size and the bracket of every percentile."""
-    slack = 4.0 / accuracy
-    lows = [max(0.0, p - slack) for p in probabilities]
-    highs = [min(1.0, p + slack) for p in probabilities]
+    lows, highs = _widened(probabilities, accuracy)
     sketched = base.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("n_obs"),
         F.min("_v").alias("_min"),
         F.max("_v").alias("_max"),
         F.percentile_approx("_v", lows + highs, accuracy).alias("_q"),
     )
-    # A small group is ranked whole: there the slack is less than a rank. In a larger one it covers
-    # the error of the sketch and the neighbour that interpolation needs.
-    whole = F.col("n_obs") <= accuracy
-    quantile = F.col("_q")
-    ends = []
-    for i, (low, high) in enumerate(zip(lows, highs)):
-        low_end = F.when(whole | F.lit(low == 0.0), F.col("_min")).otherwise(quantile[i])
-        high_end = F.when(whole | F.lit(high == 1.0), F.col("_max")).otherwise(quantile[len(lows) + i])
-        ends += [low_end.alias(f"_lo{i}"), high_end.alias(f"_hi{i}")]
-    return sketched.select(*keys, "n_obs", *ends)
+    low, high = _ends(F.col("n_obs"), F.col("_min"), F.col("_max"), F.col("_q"), lows, highs, accuracy)
+    return sketched.select(
+        *keys,
+        "n_obs",
+        *[c.alias(f"_lo{i}") for i, c in enumerate(low)],
+        *[c.alias(f"_hi{i}") for i, c in enumerate(high)],
+    )
 
 
 def _same(left: DataFrame, right: DataFrame, keys: list[str]) -> Column:

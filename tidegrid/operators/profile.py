@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 
 from ..functions.columns import percent, unknown_is_false
 from ..sources import schemas as S
-from .percentiles import exact_percentiles
+from .percentiles import column_summaries
 
 # --- fixed values: percentiles of the numeric profile -----------------------------------------
 PROFILE_PERCENTILES = {
@@ -53,27 +53,13 @@ def missingness(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
 def numeric_profile(
     df: DataFrame, columns: list[str], exact: bool = True, accuracy: int = 10_000
 ) -> DataFrame:
-    """Count, range and percentiles per column; an all-NULL column has count 0 and no more.
+    """Count, range and percentiles per column; a column without values has count 0 and no more.
 
     ``exact=False`` takes the percentiles from a sketch of the given accuracy, in the same pass as
     the range. The exact form needs a second pass and also resolves the far tail.
     """
-    probs = list(PROFILE_PERCENTILES.values())
-    values = unpivot(df, columns, "double")
-    summary = [
-        F.count("value").alias("count"), F.min("value").alias("min"), F.max("value").alias("max"),
-    ]
-    if exact:
-        out = values.groupBy("column_name").agg(*summary).join(
-            exact_percentiles(values, "value", probs, ["column_name"], accuracy).drop("n_obs"),
-            "column_name",
-            "left",
-        )
-    else:
-        out = values.groupBy("column_name").agg(
-            *summary, F.percentile_approx("value", probs, accuracy).alias("percentiles")
-        )
-    return out.select(
+    found = column_summaries(df, columns, list(PROFILE_PERCENTILES.values()), accuracy=accuracy, exact=exact)
+    return found.select(
         "column_name",
         "count",
         "min",
@@ -84,25 +70,10 @@ def numeric_profile(
 
 def summary_statistics(df: DataFrame, columns: list[str]) -> DataFrame:
     """Count, mean, deviation, range and quartiles per column."""
-    values = unpivot(df, columns, "double")
-    quartiles = exact_percentiles(values, "value", [0.25, 0.5, 0.75], ["column_name"])
-    return (
-        values.groupBy("column_name")
-        .agg(
-            F.count("value").alias("count"),
-            F.avg("value").alias("mean"),
-            F.stddev_samp("value").alias("stddev"),
-            F.min("value").alias("min"),
-            F.max("value").alias("max"),
-        )
-        .join(quartiles.drop("n_obs"), "column_name", "left")
-        .select(
-            "column_name", "count", "mean", "stddev", "min",
-            F.col("percentiles")[0].alias("p25"),
-            F.col("percentiles")[1].alias("p50"),
-            F.col("percentiles")[2].alias("p75"),
-            "max",
-        )
+    return column_summaries(df, columns, [0.25, 0.5, 0.75]).select(
+        "column_name", "count", "mean", "stddev", "min",
+        *[F.col("percentiles")[i].alias(n) for i, n in enumerate(["p25", "p50", "p75"])],
+        "max",
     )
 
 
