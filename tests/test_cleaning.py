@@ -15,9 +15,42 @@ def audit_both(df, rule_list, keys=None, order=None, by=None):
     plain = cleaning.audit(df, rule_list, keys, order, by)
     filtered = cleaning.audit(df, rule_list, keys, order, by, prefilter=True)
     assert sorted(map(str, plain.collect())) == sorted(map(str, filtered.collect()))
+    for table in (plain, cleaning.audit_counts(df, rule_list, keys, by), cleaning.audit_counts(df, rule_list, keys, by, prefilter=True)):
+        reports = [cleaning.ledger(table, rule_list), cleaning.duplicate_profile(table)]
+        if by:
+            reports += [cleaning.ledger(table, rule_list, by[0]), cleaning.row_summary(table, by[0])]
+        made = [sorted(map(str, r.collect())) for r in reports]
+        expected = made if table is plain else expected
+        assert made == expected
     return plain
 
 
+def test_counts_of_hot_copies_nulls_and_an_empty_table(spark):
+    df = spark.range(4_000).select(
+        F.when(F.col("id") % 2 == 0, "A").alias("kind"),
+        F.when(F.col("id") % 3 > 0, F.col("id") % 11).alias("a"),
+        F.when(F.col("id") % 5 == 0, F.lit("x")).otherwise(F.col("id").cast("string")).alias("b"),
+    )
+    rule_list = [
+        Rule("small", "r", F.col("a") < 2), Rule("late", "r", F.col("a") > 8, stage="study_period", after_dedup=True),
+    ]
+    audit_both(df, rule_list, ["a", "b"], by=["kind"])
+    audit_both(df.limit(0), rule_list, ["a", "b"], by=["kind"])
+
+
+@pytest.mark.parametrize("prefilter", [False, True])
+def test_counts_are_hash_aggregates_and_refuse_rules_that_split_copies(spark, prefilter):
+    df = spark.createDataFrame([(1, "s", 1), (1, "s", 9), (2, "t", 1)], "k int, s string, t int")
+    rule_list = [Rule("late", "r", F.col("t") > 5, stage="study_period", after_dedup=True)]
+    by_key = cleaning.audit_counts(df, rule_list, ["k", "s"], prefilter=prefilter)
+    with pytest.raises(Exception, match="tells copies of one record apart"):
+        by_key.collect()
+    whole = cleaning.audit_counts(df, rule_list, ["k", "s", "t"], prefilter=prefilter)
+    plan = whole._jdf.queryExecution().toString()
+    assert "SortAggregate" not in plan and "HashAggregate" in plan
+    assert whole.agg(F.sum("_copies"), F.sum("_groups")).first()[:] == (3, 3)
+
+
 def removed(df, rule_list, **kw):
     return [r.records_removed for r in cleaning.ledger(audit_both(df, rule_list, **kw), rule_list).orderBy("ordinal").collect()]
 

@@ -27,6 +27,11 @@ def audited(spark, sf_dir, prefilter: bool = False):
     )
 
 
+def audit_numbers(spark, sf_dir):
+    """What the reports need of the audit, without its records."""
+    return cleaning.audit_counts(t.trips(spark, sf_dir), trip_rules(), KEYS, by=["taxi_type"])
+
+
 _RULE_ROWS = [
     (1, "essential_missing"), (2, "essential_missing"), *[(i, "invalid") for i in range(3, 10)],
     (10, "study_period"),
@@ -45,7 +50,7 @@ SELECT ordinal, stage, dataset, coalesce(c, 0) AS records_removed,
 FROM rules CROSS JOIN totals LEFT JOIN removed USING (dataset, ordinal)"""
 )
 def cleaning_ledger(spark, sf_dir):
-    return cleaning.ledger(audited(spark, sf_dir), trip_rules(), "taxi_type").select(
+    return cleaning.ledger(audit_numbers(spark, sf_dir), trip_rules(), "taxi_type").select(
         "ordinal", "stage", "dataset", "records_removed", "pct_of_original"
     )
 
@@ -76,7 +81,7 @@ SELECT ordinal, stage, coalesce(c, 0) AS records_removed,
 FROM rules LEFT JOIN removed USING (ordinal)"""
 )
 def ledger_rollup(spark, sf_dir):
-    ledger = cleaning.ledger(audited(spark, sf_dir), trip_rules(), "taxi_type")
+    ledger = cleaning.ledger(audit_numbers(spark, sf_dir), trip_rules(), "taxi_type")
     return cleaning.ledger_over_datasets(ledger).select(
         "ordinal", "stage", "records_removed", "pct_of_combined_raw"
     )
@@ -91,7 +96,7 @@ SELECT coalesce(taxi_type, 'combined') AS taxi_type, count(*) AS raw_row_count,
 FROM audited GROUP BY ROLLUP (taxi_type)"""
 )
 def row_count_rollup(spark, sf_dir):
-    return cleaning.row_summary(audited(spark, sf_dir))
+    return cleaning.row_summary(audit_numbers(spark, sf_dir))
 
 
 @query(
@@ -102,7 +107,7 @@ SELECT count(*) AS total_rows, count(*) FILTER (WHERE rn = 1) AS distinct_rows,
 FROM audited WHERE first_rule IS NULL"""
 )
 def dedup_profile(spark, sf_dir):
-    return cleaning.duplicate_profile(audited(spark, sf_dir))
+    return cleaning.duplicate_profile(audit_numbers(spark, sf_dir))
 
 
 @query(

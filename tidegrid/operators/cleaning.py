@@ -109,8 +109,10 @@ def audit(
     ``_removed_by`` is NULL for clean rows. Rows folded per rule have NULL business columns.
 
     The plain form is one scan and one shuffle of whole records. With ``prefilter`` a first scan
-    counts broken records and key hashes, and only records whose hash repeats are shuffled whole:
-    two scans and a shuffle of 8 bytes a record, the right trade once records outgrow the shuffle disks.
+    counts broken records and key hashes, and only records whose hash repeats are shuffled whole. Rows
+    that stay in place and rows that are shuffled are then two more scans: three scans and a shuffle of
+    8 bytes a record, the right trade once records outgrow the shuffle disks. Where only numbers are
+    wanted, :func:`audit_counts` moves no whole records.
     """
     by = by or []
     before = list(enumerate([r for r in rules if not r.after_dedup], 1))
@@ -146,6 +148,76 @@ def audit(
     return grouped.withColumn("_removed_by", removed_by).select(*df.columns, *_AUDIT)
 
 
+def audit_counts(
+    df: DataFrame,
+    rules: list[Rule],
+    keys: list[str] | None = None,
+    by: list[str] | None = None,
+    prefilter: bool = False,
+) -> DataFrame:
+    """The audit in numbers: ``by``, ``_rule``, ``_removed_by``, ``_copies`` (records) and ``_groups`` (without copies).
+
+    Feeds :func:`ledger`, :func:`row_summary` and :func:`duplicate_profile` like an audit table, and is a few
+    rows whatever the table. Nothing but counts goes with the keys, so every step is a hash aggregate.
+    The plain form shuffles the keys of each distinct record. With ``prefilter`` a first scan shuffles 8 bytes
+    a record, and only records whose hash repeats are grouped by their keys; a hash collision costs time, never
+    correctness. Rules after deduplication must tell the same of all copies, as they do when they look at keys
+    only; otherwise the survivor decides, this raises, and :func:`audit` is the way.
+    """
+    by = by or []
+    before = list(enumerate([r for r in rules if not r.after_dedup], 1))
+    after = list(enumerate([r for r in rules if r.after_dedup], len(before) + 2))
+    group = _group(keys or list(df.columns), by)
+    live = F.col("_rule").isNull()
+    tagged = df.withColumn("_rule", _first_broken(before)).withColumn(
+        "_after", F.when(live, F.coalesce(_first_broken(after), F.lit(0)))
+    )
+    if not prefilter:
+        return _numbers(_counted(tagged, group, by), by)
+
+    counted = stage(
+        tagged.select("_rule", "_after", *by, F.when(live, F.xxhash64(*group)).alias("_h"))
+        .groupBy("_rule", *by, "_h")
+        .agg(F.count(F.lit(1)).alias("_copies"), F.min("_after").alias("_after"))
+        .withColumn("_h", F.when(F.col("_copies") > 1, F.col("_h")))
+        .groupBy("_rule", *by, "_h", F.when(F.col("_h").isNull(), F.col("_after")).alias("_after"))
+        .agg(F.sum("_copies").alias("_copies"), F.count(F.lit(1)).alias("_groups")),
+        "audit-hashes",
+    )
+    settled = counted.where(F.col("_h").isNull()).withColumn("_least", F.col("_after")).withColumnRenamed("_after", "_most")
+    repeated = counted.where(F.col("_h").isNotNull()).select("_h").distinct()
+    suspects = tagged.where(live).withColumn("_h", F.xxhash64(*group)).join(repeated, "_h", "left_semi")
+    columns = ["_rule", *by, "_copies", "_groups", "_least", "_most"]
+    return _numbers(settled.select(*columns).unionByName(_counted(suspects, group, by).select(*columns)), by)
+
+
+def _counted(tagged: DataFrame, group: list[str], by: list[str]) -> DataFrame:
+    """Copies per key of live records and per rule of broken ones."""
+    live = F.col("_rule").isNull()
+    folded = tagged.select("_rule", "_after", *by, *[F.when(live, F.col(c)).alias(c) for c in group if c not in by])
+    return (
+        folded.groupBy("_rule", *group)
+        .agg(F.count(F.lit(1)).alias("_copies"), F.min("_after").alias("_least"), F.max("_after").alias("_most"))
+        .withColumn("_groups", F.lit(1).cast("long"))
+    )
+
+
+def _numbers(counted: DataFrame, by: list[str]) -> DataFrame:
+    apart = F.raise_error(F.lit("a rule after deduplication tells copies of one record apart")).cast("int")
+    ruled = F.when(F.col("_least") == F.col("_most"), F.nullif(F.col("_least"), F.lit(0))).otherwise(apart)
+    return (
+        counted.withColumn("_removed_by", F.when(F.col("_rule").isNotNull(), F.col("_rule")).otherwise(ruled))
+        .groupBy("_rule", *by, "_removed_by")
+        .agg(F.sum("_copies").alias("_copies"), F.sum("_groups").alias("_groups"))
+        .select(*by, "_rule", "_removed_by", "_copies", "_groups")
+    )
+
+
+def _records(audited: DataFrame):
+    """Records without copies that a row of an audit stands for."""
+    return F.col("_groups") if "_groups" in audited.columns else F.lit(1).cast("long")
+
+
 def clean_rows(audited: DataFrame) -> DataFrame:
     return audited.where(F.col("_removed_by").isNull()).drop(*_AUDIT)
 
@@ -162,7 +234,7 @@ def _named_rules(rules: list[Rule]) -> list[tuple[int, str, str, str]]:
 def ledger(audited: DataFrame, rules: list[Rule], dataset: str | None = None) -> DataFrame:
     """One row per rule (and dataset) with the exact number of records it removed.
 
-    ``dataset`` names the column that tells the datasets apart.
+    ``audited`` comes from :func:`audit` or :func:`audit_counts`. ``dataset`` names the column that tells the datasets apart.
     """
     named = _named_rules(rules)
     duplicate = len([r for r in rules if not r.after_dedup]) + 1
@@ -172,8 +244,8 @@ def ledger(audited: DataFrame, rules: list[Rule], dataset: str | None = None) ->
         if ordinal < duplicate:
             return F.sum(F.when(F.col("_rule") == ordinal, F.col("_copies")).otherwise(0))
         if ordinal == duplicate:
-            return F.sum(F.when(live, F.col("_copies") - 1).otherwise(0))
-        return F.count_if(live & (F.col("_removed_by") == ordinal))
+            return F.sum(F.when(live, F.col("_copies") - _records(audited)).otherwise(0))
+        return F.sum(F.when(live & (F.col("_removed_by") == ordinal), _records(audited)).otherwise(0))
 
     key = [F.col(dataset).alias("dataset")] if dataset else [F.lit("all").alias("dataset")]
     counted = audited.groupBy(*key).agg(
@@ -229,7 +301,7 @@ def row_summary(audited: DataFrame, dataset: str = "taxi_type") -> DataFrame:
         audited.rollup(dataset)
         .agg(
             F.sum("_copies").alias("raw_row_count"),
-            F.count_if(F.col("_removed_by").isNull()).alias("clean_row_count"),
+            F.sum(F.when(F.col("_removed_by").isNull(), _records(audited)).otherwise(0)).alias("clean_row_count"),
         )
         .select(
             F.coalesce(F.col(dataset), F.lit("combined")).alias(dataset),
@@ -248,7 +320,7 @@ def duplicate_profile(audited: DataFrame) -> DataFrame:
     live = audited.where(F.col("_rule").isNull())
     return live.agg(
         F.coalesce(F.sum("_copies"), F.lit(0)).alias("total_rows"),
-        F.count(F.lit(1)).alias("distinct_rows"),
+        F.coalesce(F.sum(_records(audited)), F.lit(0)).alias("distinct_rows"),
     ).select(
         "total_rows",
         "distinct_rows",
