@@ -1,4 +1,5 @@
 import hashlib
+import random
 import re
 
 from tidegrid.llm import decontaminate
@@ -68,6 +69,61 @@ def test_removal(spark):
     assert not any(w[5] for w in brute([(r.doc_id, r.text) for r in cut.where("doc_id <> 6").collect()], ITEMS))
 
 
+def test_spans_of_parts_are_found_before_any_is_cut(spark):
+    """Two overlapping items in different parts: cutting one must not hide the other."""
+    left, right = LONG, " ".join(f"w{i}" for i in range(16, 40))
+    docs = spark.createDataFrame([(1, f"a {left} {' '.join(right.split()[9:])} b", [1], "x")], "doc_id long, text string, spans array<int>, row string")
+    bench = spark.createDataFrame([(1, left), (2, right)], "item_id long, text string")
+    for size in (20, 1 << 20):
+        cut = decontaminate.remove(docs, bench, what="spans", part_bytes=size)
+        assert cut.columns == docs.columns
+        (row,) = cut.collect()
+        assert row.text.split() == ["a", "b"] and row.spans == [1] and row.row == "x"
+
+
+def test_index_is_bounded_by_its_text():
+    rng = random.Random(3)
+    shared = " ".join(rng.choice("abcdefghij") for _ in range(500))
+    texts = {
+        "short words": [" ".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(2000)) for _ in range(200)],
+        "other words": [" ".join(f"{rng.randrange(1 << 20):x}" for _ in range(1000)) for _ in range(200)],
+        "one passage in all": [f"{shared} {k}" for k in range(500)],
+        "one word": ["x " * 100_000],
+    }
+    for name, items in texts.items():
+        index = decontaminate.Index(list(enumerate(items)), 10)
+        assert index.nbytes <= decontaminate.INDEX_RATIO * sum(map(len, items)), name
+
+
+def test_several_parts_of_many_items(spark):
+    """Items share passages, and each part is scanned after the rows of the part before were stored."""
+    rng = random.Random(4)
+    vocabulary = [f"v{i}" for i in range(300)]
+    shared = " ".join(rng.choices(vocabulary, k=30))
+    items = [(k, f"{shared if k % 3 == 0 else ''} {' '.join(rng.choices(vocabulary, k=rng.randrange(1, 60)))}") for k in range(300)]
+    docs = [(k, " ".join(rng.choices(vocabulary, k=50)) + " " + rng.choice(items)[1] + " tail") for k in range(120)] + [(None, shared), (3, shared), (3, shared)]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    rows = spark.createDataFrame(docs, "doc_id long, text string")
+    want = brute(docs, items)
+    assert got(decontaminate.digests(rows, bench)) == want
+    parts = decontaminate.scan(rows, bench, part_bytes=sum(len(t) for _, t in items) // 3)
+    found = [(r.doc_id, r.n_words, sum(s.end - s.start for s in r.spans), len(r["items"])) for r in parts.collect()]
+    assert sorted(found, key=str) == sorted((w[:4] for w in want), key=str)
+
+
+def test_hashes_that_collide(monkeypatch):
+    """Windows are told apart by their words even where all hashes are equal."""
+    monkeypatch.setattr(decontaminate, "_hash", lambda codes, starts, length: starts.astype("uint64") * 0)
+    items = [(1, "a b c a b"), (2, "b c a b"), (3, "c c c c c"), (4, "a b")]
+    index = decontaminate.Index(items, 3)
+    docs = ["x a b c", "b c a", "c c c c", "a b", "b c c"]
+    data, bounds = decontaminate.flat(decontaminate.pa.array(docs))
+    words = decontaminate.Words(data, bounds, decontaminate.IS_WORD)
+    hit, found = index.scan(words)
+    assert found == [[1, 4], [1, 2], [3], [4], []]
+    assert hit.tolist() == [False] + [True] * 3 + [True] * 3 + [True] * 4 + [True] * 2 + [False] * 3
+
+
 def test_empty_tables(spark):
     docs = spark.createDataFrame(DOCS, "doc_id long, text string")
     none = spark.createDataFrame([], "item_id long, text string")

@@ -1,12 +1,14 @@
 """Benchmark decontamination: a broadcast hash set of the benchmark's word windows, scanned over every text.
 
 A window is ``length`` consecutive words of an item; an item with fewer words, but not none, is one window of
-all its words. Words are lower-cased (A-Z) runs of ASCII letters, digits and signs beyond ASCII. A window is
-held as the tuple of its words' numbers, so a hit of the hash is verified exactly.
+all its words. Words are lower-cased (A-Z) runs of ASCII letters, digits and signs beyond ASCII. The set holds
+sorted hashes of distinct windows, each with the place of its words in the items, so a hit is verified word by word.
 
-The benchmark is collected and broadcast in parts whose text is at most ``PART_BYTES``: a larger benchmark means
-more parts, scanned one after the other over the same rows, each adding to what the earlier ones found. Memory is
-bounded whatever its size. The documents are never shuffled, so copies and hot sources cost no more than others.
+The benchmark is collected and broadcast in parts of about ``PART_BYTES`` of text, an item always whole. An index has
+at most ``INDEX_RATIO`` bytes for each byte of its items. Parts are scanned one after the other over the same rows, each
+adding to what the earlier ones found; between two parts the rows are written to a staged table and the broadcast is
+given back, so the driver and each worker hold one part at a time, however many there are. A benchmark of one part, as
+usual, writes nothing. The documents are never shuffled, so copies and hot sources cost no more than others.
 
 Defined cases: a null or wordless text has no hits; a null or wordless item has no windows; an item without id
 marks hits but is not listed; repeated items are listed once; rows are judged one by one, so repeated rows and
@@ -15,24 +17,86 @@ null ids stay; empty tables give empty results; other columns pass through, what
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidegrid.session import stage
+
 from .arrays import LOWER, Words, binary_array, flat, mixed, slices
 
 WINDOW = 10
-PART_BYTES = 16 << 20
+PART_BYTES = 8 << 20
+# A word of the items takes 28 bytes and its place in the vocabulary, and at least two bytes of text.
+INDEX_RATIO = 20
 # Digits, letters and every byte of a sign beyond ASCII; upper case is lowered before.
 IS_WORD = np.zeros(256, bool)
 IS_WORD[48:58] = IS_WORD[97:123] = IS_WORD[128:] = True
 
 
+def _hash(codes: np.ndarray, starts: np.ndarray, length: int) -> np.ndarray:
+    """Hash of the ``length`` codes from each start on; one column at a time, as windows overlap."""
+    total = np.zeros(len(starts), np.uint64)
+    for k in range(length):
+        total = mixed(total + codes[starts + k].astype(np.uint64) + np.uint64(1))
+    return total
+
+
+def _same(codes: np.ndarray, starts: np.ndarray, others: np.ndarray, other_starts: np.ndarray, length: int) -> np.ndarray:
+    """Whether the ``length`` codes from each start on equal those of the other side."""
+    same = np.ones(len(starts), bool)
+    for k in range(length):
+        same &= codes[starts + k] == others[other_starts + k]
+    return same
+
+
+class Windows:
+    """Distinct windows of one length, by hash: where each begins in the items' codes, and the items that have it.
+
+    Windows of one hash may be listed twice where others lie between them; a search looks at all of a hash.
+    """
+
+    def __init__(self, codes: np.ndarray, starts: np.ndarray, items: np.ndarray, length: int):
+        self.length = length
+        hashes = _hash(codes, starts, length)
+        order = np.argsort(hashes, kind="stable")
+        hashes, starts, items = hashes[order], starts[order], items[order]
+        fresh = np.ones(len(starts), bool)
+        fresh[1:] = (hashes[1:] != hashes[:-1]) | ~_same(codes, starts[1:], codes, starts[:-1], length)
+        self.hashes, self.first = hashes[fresh], starts[fresh].astype(np.int32)
+        window = np.cumsum(fresh) - 1
+        # Starts ascend within a window, and so do its items.
+        once = fresh.copy()
+        once[1:] |= items[1:] != items[:-1]
+        self.items = items[once].astype(np.int32)
+        self.bounds = np.searchsorted(window[once], np.arange(len(self.first) + 1))
+
+    @property
+    def nbytes(self) -> int:
+        return self.hashes.nbytes + self.first.nbytes + self.items.nbytes + self.bounds.nbytes
+
+    def find(self, codes: np.ndarray, starts: np.ndarray, own: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Verified pairs of one of ``starts`` in ``codes`` and a window; ``own`` are the codes of the items."""
+        hashes = _hash(codes, starts, self.length)
+        at = np.searchsorted(self.hashes, hashes)
+        found = [], []
+        while True:
+            left = np.flatnonzero(at < len(self.hashes))
+            left = left[self.hashes[at[left]] == hashes[left]]
+            if not len(left):
+                return tuple(np.concatenate(side) if side else np.zeros(0, np.int64) for side in found)
+            starts, hashes, at = starts[left], hashes[left], at[left]
+            same = _same(codes, starts, own, self.first[at], self.length)
+            found[0].append(starts[same])
+            found[1].append(at[same])
+            at = at + 1
+
+
 class Index:
     """Windows of benchmark items, by length."""
 
@@ -40,25 +104,22 @@ class Index:
         data, bounds = flat(pa.array([text for _, text in items], pa.string()))
         words = Words(LOWER[data], bounds, IS_WORD)
         codes, self.vocabulary = words.coded()
-        codes = codes.astype(np.int32)
-        self.windows: dict[int, dict[bytes, list[int]]] = {}
-        for (item, _), start, end in zip(items, words.docs, words.docs[1:]):
-            length = min(window, int(end - start))
-            for at in range(start, end - length + 1) if length else ():
-                found = self.windows.setdefault(length, {}).setdefault(codes[at : at + length].tobytes(), [])
-                if item is not None and item not in found:
-                    found.append(item)
-        self.hashes = {
-            length: np.unique(self._hash(np.frombuffer(b"".join(keys), np.int32).reshape(-1, length)))
-            for length, keys in self.windows.items()
-        }
-
-    @staticmethod
-    def _hash(rows: np.ndarray) -> np.ndarray:
-        total = np.zeros(len(rows), np.uint64)
-        for column in rows.T:
-            total = mixed(total + column.astype(np.uint64) + np.uint64(1))
-        return total
+        self.codes = codes.astype(np.int32)
+        self.ids = [item for item, _ in items]
+        sizes = np.diff(words.docs)
+        lengths = np.minimum(sizes, window)
+        self.windows = []
+        for length in np.unique(lengths[lengths > 0]).tolist():
+            own = np.flatnonzero(lengths == length)
+            counts = sizes[own] - length + 1
+            before = np.repeat(np.cumsum(counts) - counts, counts)
+            starts = np.repeat(words.docs[own], counts) + np.arange(counts.sum()) - before
+            self.windows.append(Windows(self.codes, starts, np.repeat(own, counts), length))
+
+    @property
+    def nbytes(self) -> int:
+        """Bytes of all arrays; the ids are not counted."""
+        return self.codes.nbytes + self.vocabulary.nbytes + sum(w.nbytes for w in self.windows)
 
     def scan(self, words: Words) -> tuple[np.ndarray, list[list[int]]]:
         """Which words are hit, and the items found in each text."""
@@ -71,31 +132,44 @@ class Index:
         codes = known[distinct_codes].astype(np.int32)
         unknown = np.concatenate([[0], np.cumsum(codes < 0)])
         doc = np.repeat(np.arange(len(found)), np.diff(words.docs))
-        for length, windows in self.windows.items():
+        for windows in self.windows:
+            length = windows.length
             if n < length:
                 continue
             inside = (unknown[length:] == unknown[: n - length + 1]) & (doc[length - 1 :] == doc[: n - length + 1])
-            at = np.flatnonzero(inside)
-            rows = codes[at[:, None] + np.arange(length)]
-            likely = np.isin(self._hash(rows), self.hashes[length])
-            for start, row in zip(at[likely].tolist(), rows[likely]):
-                items = windows.get(row.tobytes())
-                if items is not None:
-                    steps[start] += 1
-                    steps[start + length] -= 1
-                    found[doc[start]].update(items)
-        return np.cumsum(steps)[:n] > 0, [sorted(items) for items in found]
-
-
-def _parts(benchmark: DataFrame, window: int, part_bytes: int) -> list:
-    """Broadcast indexes of the benchmark's parts; one part is on the driver at a time."""
+            starts, which = windows.find(codes, np.flatnonzero(inside), self.codes)
+            np.add.at(steps, starts, 1)
+            np.add.at(steps, starts + length, -1)
+            for text, one in np.unique(np.stack([doc[starts], which], axis=1), axis=0).tolist():
+                found[text].update(windows.items[windows.bounds[one] : windows.bounds[one + 1]].tolist())
+        ids = [sorted({self.ids[item] for item in items} - {None}) for items in found]
+        return np.cumsum(steps)[:n] > 0, ids
+
+
+def _passes(rows: DataFrame, benchmark: DataFrame, task_of: Callable, window: int, part_bytes: int) -> DataFrame:
+    """``rows`` after one pass of ``task_of(index)`` for each part of the benchmark."""
+    spark, schema = rows.sparkSession, T.StructType(rows.schema.fields)
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text").where(F.col("text").isNotNull()).distinct()
     size = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    parts = -(-size // part_bytes)
-    context = benchmark.sparkSession.sparkContext
+    parts = max(1, -(-size // part_bytes))
+    if parts > 1:
+        items = stage(items, "benchmark_items")
+    for part in range(parts):
+        own = items.where(F.pmod(F.xxhash64("text", "item_id"), F.lit(parts)) == part)
+        index = spark.sparkContext.broadcast(Index([tuple(row) for row in own.collect()], window))
+        rows = rows.mapInArrow(task_of(index), schema)
+        if part + 1 < parts:
+            rows = stage(rows, "scanned_part")
+            index.destroy()
+    return rows
+
+
+def _unmarked() -> list[Column]:
+    """The columns that ``_scan_task`` fills."""
+    span = "array<struct<start: bigint, end: bigint>>"
     return [
-        context.broadcast(Index([tuple(r) for r in items.where(F.pmod(F.xxhash64("text", "item_id"), F.lit(parts)) == part).collect()], window))
-        for part in range(parts)
+        F.lit(0).cast("long").alias("n_words"), F.array().cast(span).alias("spans"),
+        F.array().cast(span).alias("chars"), F.array().cast("array<bigint>").alias("items"),
     ]
 
 
@@ -104,17 +178,8 @@ def scan(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, part_bytes
 
     ``chars`` has the same spans as byte offsets in the UTF-8 text.
     """
-    span = "array<struct<start: bigint, end: bigint>>"
-    found = docs.select(
-        F.col("doc_id").cast("long").alias("doc_id"), "text", F.lit(0).cast("long").alias("n_words"),
-        F.array().cast(span).alias("spans"), F.array().cast(span).alias("chars"), F.array().cast("array<bigint>").alias("items"),
-    )
-    schema = found.schema
-    if not (parts := _parts(benchmark, window, part_bytes)):
-        parts = [docs.sparkSession.sparkContext.broadcast(Index([], window))]
-    for index in parts:
-        found = found.mapInArrow(_scan_task(index), schema)
-    return found.drop("text")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", *_unmarked())
+    return _passes(rows, benchmark, _scan_task, window, part_bytes).drop("text")
 
 
 def _spans(hit: np.ndarray, words: Words) -> list[tuple[list, list]]:
@@ -144,46 +209,51 @@ def _scan_task(index):
             for start, (in_words, in_bytes) in zip(bounds.tolist(), _spans(hit, words)):
                 spans.append([{"start": a, "end": b} for a, b in in_words])
                 chars.append([{"start": a - start, "end": b - start} for a, b in in_bytes])
-            kinds = [rows.schema.field(name).type for name in ("spans", "chars", "items")]
-            yield pa.RecordBatch.from_arrays(
-                [rows.column("doc_id"), rows.column("text"), pa.array(np.diff(words.docs), pa.int64()),
-                 pa.array(spans, kinds[0]), pa.array(chars, kinds[1]), pa.array(items, kinds[2])],
-                names=["doc_id", "text", "n_words", "spans", "chars", "items"],
-            )
+            made = {"n_words": np.diff(words.docs), "spans": spans, "chars": chars, "items": items}
+            columns = [pa.array(made[f.name], f.type) if f.name in made else rows.column(f.name) for f in rows.schema]
+            yield pa.RecordBatch.from_arrays(columns, names=rows.schema.names)
+
+    return task
+
+
+def _filter_task(index):
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in slices(batches, "text"):
+            data, bounds = flat(rows.column("text"))
+            words = Words(LOWER[data], bounds, IS_WORD)
+            counts = np.concatenate([[0], np.cumsum(index.value.scan(words)[0])])
+            yield rows.filter(pa.array(counts[words.docs[1:]] == counts[words.docs[:-1]]))
 
     return task
 
 
+def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The texts without the bytes of ``chars``."""
+    for rows in slices(batches, "text"):
+        data, bounds = flat(rows.column("text"))
+        keep = np.ones(len(data), bool)
+        for start, spans in zip(bounds.tolist(), rows.column("chars").to_pylist()):
+            for span in spans:
+                keep[start + span["start"] : start + span["end"]] = False
+        left = np.concatenate([[0], np.cumsum(keep)])[bounds]
+        kind = rows.column("text").type
+        texts = pc.if_else(pc.is_valid(rows.column("text")), binary_array(data[keep], left).cast(kind), pa.scalar(None, kind))
+        yield pa.RecordBatch.from_arrays([rows.column("row"), texts], ["row", "text"])
+
+
 def remove(docs: DataFrame, benchmark: DataFrame, what: str = "documents", window: int = WINDOW, part_bytes: int = PART_BYTES) -> DataFrame:
-    """``docs`` without contaminated rows, or (``what="spans"``) with the hit words cut from the texts."""
-    if what not in ("documents", "spans"):
-        raise ValueError(f"what is 'documents' or 'spans', not {what!r}")
+    """``docs`` without contaminated rows, or (``what="spans"``) with the hit words cut from the texts.
 
-    def task_of(index):
-        def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for rows in slices(batches, "text"):
-                data, bounds = flat(rows.column("text"))
-                words = Words(LOWER[data], bounds, IS_WORD)
-                hit, _ = index.value.scan(words)
-                if what == "documents":
-                    counts = np.concatenate([[0], np.cumsum(hit)])
-                    yield rows.filter(pa.array(counts[words.docs[1:]] == counts[words.docs[:-1]]))
-                    continue
-                keep = np.ones(len(data) + 1, np.int64)
-                for _, in_bytes in _spans(hit, words):
-                    for a, b in in_bytes:
-                        keep[a:b] = 0
-                left = np.concatenate([[0], np.cumsum(keep[:-1])])[bounds]
-                texts = binary_array(data[keep[:-1].astype(bool)], left).cast(rows.column("text").type)
-                texts = pc.if_else(pc.is_valid(rows.column("text")), texts, pa.scalar(None, texts.type))
-                columns = [texts if name == "text" else rows.column(name) for name in rows.schema.names]
-                yield pa.RecordBatch.from_arrays(columns, schema=rows.schema)
-
-        return task
-
-    for index in _parts(benchmark, window, part_bytes):
-        docs = docs.mapInArrow(task_of(index), T.StructType(docs.schema.fields))
-    return docs
+    Spans of all parts are found in the whole texts before any is cut.
+    """
+    if what == "documents":
+        return _passes(docs, benchmark, _filter_task, window, part_bytes)
+    if what != "spans":
+        raise ValueError(f"what is 'documents' or 'spans', not {what!r}")
+    row = F.struct(*(F.col(f"`{name}`") for name in docs.columns)).alias("row")
+    marked = _passes(docs.select(row, "text", *_unmarked()), benchmark, _scan_task, window, part_bytes).select("row", "text", "chars")
+    cut = marked.mapInArrow(_cut, T.StructType([marked.schema["row"], marked.schema["text"]]))
+    return cut.select(*(F.col("text") if name == "text" else F.col(f"row.`{name}`").alias(name) for name in docs.columns))
 
 
 def digests(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
