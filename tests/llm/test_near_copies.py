@@ -30,9 +30,9 @@ def brute(rows):
     return list(groups.values())
 
 
-def check(spark, rows, tile=near_copies.TILE):
+def check(spark, rows, tile=near_copies.TILE, inline=near_copies.INLINE_BYTES):
     docs = spark.createDataFrame([(i, t, "s") for i, t in rows], SCHEMA)
-    kept = near_copies.keep_one(docs, tile=tile)
+    kept = near_copies.keep_one(docs, tile=tile, inline=inline)
     assert kept.columns == docs.columns
     got, groups = [(r.doc_id, r.text) for r in kept.collect()], brute(rows)
     assert len(got) == len(groups)
@@ -73,7 +73,9 @@ def test_shared_passages_in_tiles(spark):
         base = words(rng, 40)
         rows += [(1000 - 3 * i - k, " ".join(passage) + " " + edited(rng, base, k)) for k in range(3)]
     rows += [(2000 + i, edited(rng, passage, 1)) for i in range(40)]
-    check(spark, rows, tile=16)
+    for inline in (near_copies.INLINE_BYTES, 10_000, 0):
+        # All tiles in rows, some of them in files, all of them in files.
+        check(spark, rows, tile=16, inline=inline)
 
 
 def test_defined_cases(spark):
