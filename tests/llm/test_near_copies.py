@@ -96,3 +96,49 @@ def test_stage_removes_copies_that_differ_by_more_than_four_bits(spark):
     groups = brute([row[:2] for row in rows])
     assert simhash.keep_one(docs).count() > len(groups)
     assert corpus_pipeline.near_duplicates(spark, docs, "").count() == len(groups)
+
+
+def test_stage_goes_by_fingerprints_first(spark, monkeypatch):
+    import corpus_pipeline
+    from tidegrid.llm import simhash
+
+    rng = random.Random(6)
+    rows = []
+    for n in (8, 60, 300):
+        for _ in range(5):
+            base = words(rng, n)
+            rows += [(len(rows) + k, edited(rng, base, k), "s") for k in range(4)]
+    docs = spark.createDataFrame(rows, SCHEMA).selectExpr("*", "cast(length(text) AS long) AS n_chars")
+    pairs, apart = [], []
+
+    def prints(*args):
+        pairs.append(near(*args))
+        return pairs[-1]
+
+    def stars(members, groups):
+        apart.append((real_stars(members, groups).count(), members.where("node != least").select("node", "least").distinct().count()))
+        return real_stars(members, groups)
+
+    near, real_stars = near_copies.fingerprint_pairs, near_copies.star_pairs
+    monkeypatch.setattr(near_copies, "fingerprint_pairs", prints)
+    monkeypatch.setattr(near_copies, "star_pairs", stars)
+    assert corpus_pipeline.near_duplicates(spark, docs, "").count() == len(brute([row[:2] for row in rows]))
+
+    # The candidates' closure is that of all fingerprints within the radius.
+    nodes = {r.key_id: (r.node, r.fp & (1 << 64) - 1) for r in near_copies.nodes(docs, 5).collect()}
+    made = {r.doc_id: r.fp & (1 << 64) - 1 for r in simhash.fingerprints(docs, 5).collect()}
+    assert {i: fp for i, (_, fp) in nodes.items()} == made
+    within = [(x, y) for x, p in nodes.values() for y, q in nodes.values() if x < y and (p ^ q).bit_count() <= near_copies.RADIUS]
+    got = [tuple(r) for r in pairs[0].collect()]
+    assert {(min(p), max(p)) for p in got} <= set(within)
+
+    def reached(edges):
+        part = {x: x for x, _ in nodes.values()}
+        for _ in nodes:
+            for x, y in edges:
+                part[x] = part[y] = min(part[x], part[y])
+        return part
+
+    assert within and reached(got) == reached(within)
+    # Prefixes are left with what the fingerprints did not link.
+    assert apart[0][0] < apart[0][1]

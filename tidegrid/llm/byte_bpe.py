@@ -29,7 +29,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .arrays import binary_array, blocks, flat, gathered, slices
+from .arrays import binary_array, blocks, flat, gathered, give_back, slices
 
 BLOCK_BYTES = 8 << 20
 # A bucket forgets its words beyond so many; a word met again is then encoded again.
@@ -150,7 +150,7 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, pa.RecordB
         del data, coded
         yield rows.column("split")[0].as_py() << 32 | number, rows, codes, docs, words
     # The worker outlives the task and would keep what Arrow has set aside.
-    pa.default_memory_pool().release_unused()
+    give_back()
 
 
 def _rows(rows: list[tuple]) -> pa.RecordBatch:

@@ -1,21 +1,25 @@
-"""Near copies by exact Jaccard similarity of word shingles: of each group of linked rows one stays.
+"""Near copies by SimHash and exact Jaccard similarity of word shingles: of each group of linked rows one stays.
 
 Two texts are linked if their sets of ``SHINGLE``-word shingles (as XXH64, seed 42) have a Jaccard similarity of 0.8 or
-more; groups are the closure of links. No link is lost to chance:
+more; groups are the closure of links. Fingerprints find most links, prefixes those that fingerprints miss, so no link
+is lost to chance:
 
-1. ``shared``: of a set with n hashes the n - ceil(0.8 n) + 1 smallest are its prefix. Linked sets share a hash of
+1. ``fingerprint_pairs``: SimHash fingerprints (as in ``simhash``) within ``RADIUS`` bits give candidates, by the tiled
+   comparison of ``simhash.links``; work there grows with the square of the distinct fingerprints. Candidates are linked
+   only by their sets. Members of one group are not compared again below.
+2. ``shared``: of a set with n hashes the n - ceil(0.8 n) + 1 smallest are its prefix. Linked sets share a hash of
    their prefixes. Prefixes travel packed, dealt by hash; only hashes that two different sets have become rows.
    Hashes with the same members count once.
-2. ``stars``: every member is compared with the smallest member of each of its hashes, so that large groups of
+3. ``stars``: every member is compared with the smallest member of each of its hashes, so that large groups of
    copies are linked by a number of pairs that grows with their rows. Histograms of the sets go first, as their
    distance bounds the difference of the sets; whole sets are loaded only for what they do not rule out.
-3. ``candidates``: members of a hash that are not linked yet are cut into tiles of histograms, and pairs of tiles are
+4. ``candidates``: members of a hash that are not linked yet are cut into tiles of histograms, and pairs of tiles are
    dealt out as rows. Nodes that the histograms may link form blocks, so a node counts once for all its hashes.
-4. ``rest``: the sets of each block are compared in tiles likewise. A task hands on a spanning forest, so no group
+5. ``rest``: the sets of each block are compared in tiles likewise. A task hands on a spanning forest, so no group
    makes all its pairs. Tiles of sets over ``INLINE_BYTES`` lie in files of the staging folder, written once; their pairs
    travel as paths, so no such tile is copied for each of its pairs or read by the JVM. Failed attempts leave files behind.
 
-Equal sets are one node throughout. Work in steps 3 and 4 grows with the square of the sets that share a passage without
+Equal sets are one node throughout. Work in steps 4 and 5 grows with the square of the sets that share a passage without
 being near copies; it is dealt out.
 
 Defined cases: null, empty and blank texts are copies of each other; a text with fewer words than a shingle is one
@@ -38,10 +42,12 @@ from pyspark.sql import functions as F
 from tidegrid.session import small_side, stage, staging_path
 
 from . import files
-from .arrays import LOWER, Words, flat, slices
-from .simhash import IS_WORD, SEED, _Forest, _shingle_hashes, components
+from .arrays import LOWER, Words, flat, give_back, slices
+from .simhash import IS_WORD, SEED, _Forest, _majority, _shingle_hashes, components, links
 
 SHINGLE = 5
+# Fingerprints of sets at the threshold differ in 9.7 of 64 bits on average: 64 / pi times the arc cosine of 8 / 9.
+RADIUS = 10
 BINS = 256
 TILE = 256
 # Prefix hashes that a task packs at a time, and bytes of text for which there is one more bucket.
@@ -60,13 +66,20 @@ def linked(common: int, total: int) -> bool:
     return 5 * common >= 4 * (total - common)
 
 
-def _sets(rows: pa.RecordBatch, size: int) -> list[np.ndarray]:
-    """Sorted distinct shingle hashes of each text."""
+def _hashes(rows: pa.RecordBatch, size: int) -> tuple[np.ndarray, np.ndarray]:
     data, bounds = flat(rows.column("text"))
-    hashes, counts = _shingle_hashes(Words(LOWER[data], bounds, IS_WORD), size)
+    return _shingle_hashes(Words(LOWER[data], bounds, IS_WORD), size)
+
+
+def _distinct(hashes: np.ndarray, counts: np.ndarray) -> list[np.ndarray]:
     return [np.unique(part) for part in np.split(hashes, np.cumsum(counts)[:-1])]
 
 
+def _sets(rows: pa.RecordBatch, size: int) -> list[np.ndarray]:
+    """Sorted distinct shingle hashes of each text."""
+    return _distinct(*_hashes(rows, size))
+
+
 def _name(found: np.ndarray) -> int:
     return xxhash.xxh64_intdigest(found.tobytes(), SEED)
 
@@ -82,9 +95,9 @@ def _near(apart: np.ndarray, total: np.ndarray) -> np.ndarray:
 
 
 def _parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Slices of a task; after the last one Arrow's pool gives its unused memory back, as the worker outlives the task."""
+    """Slices of a task; after the last one the worker gives its unused memory back, as it outlives the task."""
     yield from slices(batches, "text")
-    pa.default_memory_pool().release_unused()
+    give_back()
 
 
 def _keys() -> list[Column]:
@@ -93,17 +106,29 @@ def _keys() -> list[Column]:
 
 
 def nodes(docs: DataFrame, size: int) -> DataFrame:
-    """(no_id, key_id, key_text, node, size, bins) per row; node names the set, bins is its histogram."""
+    """(no_id, key_id, key_text, node, size, bins, fp) per row; node names the set, bins is its histogram, fp the text's fingerprint."""
     names = ["no_id", "key_id", "key_text"]
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in _parts(batches):
-            sets = _sets(rows, size)
+            hashes, counts = _hashes(rows, size)
+            sets, prints = _distinct(hashes, counts), _majority(hashes, counts)
             found = np.array([_name(s) for s in sets], np.uint64).view(np.int64)
-            made = [pa.array(found), pa.array([len(s) for s in sets], pa.int32()), pa.array([_bins(s) for s in sets], pa.binary())]
-            yield pa.RecordBatch.from_arrays([*(rows.column(c) for c in names), *made], [*names, "node", "size", "bins"])
+            made = [pa.array(found), pa.array([len(s) for s in sets], pa.int32()), pa.array([_bins(s) for s in sets], pa.binary()), pa.array(prints.view(np.int64))]
+            yield pa.RecordBatch.from_arrays([*(rows.column(c) for c in names), *made], [*names, "node", "size", "bins", "fp"])
+
+    return docs.select(*_keys(), "text").mapInArrow(task, "no_id boolean, key_id long, key_text long, node long, size int, bins binary, fp long")
 
-    return docs.select(*_keys(), "text").mapInArrow(task, "no_id boolean, key_id long, key_text long, node long, size int, bins binary")
+
+def fingerprint_pairs(rows: DataFrame, radius: int) -> DataFrame:
+    """(a, b) pairs of nodes whose closure is that of all fingerprints within ``radius`` bits."""
+    # Texts of one set may repeat shingles differently; the set then goes by the smallest fingerprint.
+    prints = stage(rows.groupBy("node").agg(F.min("fp").alias("fp")), "prints")
+    classes = stage(prints.groupBy("fp").agg(F.min("node").alias("least")), "print_classes")
+    found = links(classes, radius)
+    between = found.join(classes.toDF("a", "left"), "a").join(classes.toDF("b", "right"), "b").select(F.col("left").alias("a"), F.col("right").alias("b"))
+    equal = prints.join(classes, "fp").where("node != least").select(F.col("node").alias("a"), F.col("least").alias("b"))
+    return stage(equal.unionByName(between).distinct(), "fingerprint_pairs")
 
 
 def shared(docs: DataFrame, size: int) -> DataFrame:
@@ -166,9 +191,15 @@ def contents(docs: DataFrame, rows: DataFrame, wanted: DataFrame, size: int) ->
     return stage(texts.select("text").mapInArrow(task, "node long, hashes binary").dropDuplicates(["node"]), "sets")
 
 
-def star_pairs(members: DataFrame, sketches: DataFrame) -> DataFrame:
-    """(a, b) pairs of a member and the smallest member of a hash that their histograms do not rule out."""
+def star_pairs(members: DataFrame, groups: DataFrame) -> DataFrame:
+    """(a, b) pairs of a member and the smallest member of a hash that ``groups`` (node, component) has apart."""
     pairs = members.where("node != least").select(F.col("node").alias("a"), F.col("least").alias("b")).distinct()
+    named = pairs.join(groups.toDF("a", "a_group"), "a", "left").join(groups.toDF("b", "b_group"), "b", "left")
+    return named.where("coalesce(a_group, a) != coalesce(b_group, b)").select("a", "b")
+
+
+def possible(pairs: DataFrame, sketches: DataFrame, name: str) -> DataFrame:
+    """``pairs`` that their histograms do not rule out; nodes without a sketch share no prefix, so they have no link."""
     loaded = pairs.join(sketches.toDF("a", "a_size", "a_bins"), "a").join(sketches.toDF("b", "b_size", "b_bins"), "b")
     loaded = loaded.where("5 * least(a_size, b_size) >= 4 * greatest(a_size, b_size)")
 
@@ -178,7 +209,7 @@ def star_pairs(members: DataFrame, sketches: DataFrame) -> DataFrame:
             total = rows.column("a_size").to_numpy(zero_copy_only=False) + rows.column("b_size").to_numpy(zero_copy_only=False)
             yield rows.select(["a", "b"]).filter(pa.array(_near(np.abs(left - right).sum(axis=1), total)))
 
-    return stage(loaded.select("a", "b", "a_size", "b_size", "a_bins", "b_bins").mapInArrow(task, "a long, b long"), "star_pairs")
+    return stage(loaded.select("a", "b", "a_size", "b_size", "a_bins", "b_bins").mapInArrow(task, "a long, b long"), name)
 
 
 def stars(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -320,7 +351,7 @@ def rest(blocks: DataFrame, sets: DataFrame, tile: int, inline: int = INLINE_BYT
     return _tile_pairs(loaded, "set_tiles", tile, inline).mapInArrow(task, "a long, b long")
 
 
-def keep_one(docs: DataFrame, size: int = SHINGLE, tile: int = TILE, inline: int = INLINE_BYTES) -> DataFrame:
+def keep_one(docs: DataFrame, size: int = SHINGLE, tile: int = TILE, inline: int = INLINE_BYTES, radius: int = RADIUS) -> DataFrame:
     """``docs`` with one row of each group of near copies."""
     # Rows with sets or tiles are large, so a batch for Python is bounded by bytes.
     docs.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
@@ -329,9 +360,14 @@ def keep_one(docs: DataFrame, size: int = SHINGLE, tile: int = TILE, inline: int
     members = shared(docs, size)
     sketches = rows.join(members.select("node").distinct(), "node", "left_semi").select("node", "size", "bins").dropDuplicates(["node"])
     sketches = stage(sketches, "sketches")
-    pairs = star_pairs(members, sketches)
-    ends = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    near = stage(stars(pairs, contents(docs, rows, ends, size)), "star_links")
+
+    def verified(pairs: DataFrame, name: str) -> DataFrame:
+        left = possible(pairs, sketches, f"{name}_pairs")
+        ends = left.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+        return stage(stars(left, contents(docs, rows, ends, size)), f"{name}_links")
+
+    near = verified(fingerprint_pairs(rows, radius), "print")
+    near = near.unionByName(verified(star_pairs(members, components(near)), "star"))
     blocks = candidates(members, sketches, components(near), tile)
     more = stage(rest(blocks, contents(docs, rows, blocks.select("node").distinct(), size), tile, inline), "more_links")
     groups = components(near.unionByName(more))
