@@ -74,3 +74,10 @@ def test_tables(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     rows = [tuple(r) for r in docs.select("doc_id", "text").collect()]
     assert got(wavelet.digests(spark, docs, DEFINITION)) == brute(rows)
+
+
+def test_ids_go_from_a_shard_to_their_digest_in_one_worker(spark):
+    # Two Python steps in one stage hold two workers a task beside those that encoded.
+    docs = spark.createDataFrame([(1, "a b")], "doc_id long, text string")
+    plan = wavelet.digests(spark, docs, DEFINITION)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("MapInArrow") == 1

@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 from tidegrid.session import stage, staging_path
 
 from . import files
-from .arrays import LOWER, binary_array, flat, slices
+from .arrays import LOWER, binary_array, flat, give_back, slices
 from .known import Known
 
 END = 1
@@ -45,10 +45,10 @@ BITS = 16
 BLOCK_BITS = 1 << 16
 SHARD_TOKENS = 4_000_000
 # Distinct pieces whose ids a worker remembers, twice; pieces that go to the library at once.
-KNOWN = 400_000
+KNOWN = 250_000
 CALL = 5_000
 MAGIC = b"WVM1"
-_SLICE = 6 << 20
+_SLICE = 4 << 20
 # 1 ASCII letter, 2 digit, 3 white space, 4 other sign, 0 part of a sign beyond ASCII.
 _CLASS = np.full(256, 4, np.uint8)
 _CLASS[65:91] = _CLASS[97:123] = 1
@@ -222,8 +222,9 @@ class _Encoder:
         start[bounds[:-1][bounds[:-1] < len(data)]] = True
         start &= keep
         starts = np.flatnonzero(start)
-        before = np.zeros(len(data) + 1, np.int64)
-        np.cumsum(keep, out=before[1:])
+        # No text of a row reaches 2 GB, and a slice has one row or a few megabytes.
+        before = np.zeros(len(data) + 1, np.int32)
+        np.cumsum(keep, dtype=np.int32, out=before[1:])
         # The tokenizer makes lower case of everything; done first for ASCII, fewer pieces differ.
         lower = LOWER[data] if not whole else data
         ids, counts = self.known.numbers(lower[keep], before[starts], "<u2")
@@ -261,6 +262,7 @@ def write(docs: DataFrame, definition: str, folder: str, end: int = END) -> Data
                 ids, doc_ids, lengths, number = [], [], [], number + 1
         if doc_ids:
             yield flushed()
+        give_back()
 
     ordered = (
         docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
@@ -280,32 +282,38 @@ def with_starts(shards: DataFrame) -> DataFrame:
     return inner.join(earlier, "task").select("path", (F.col("inner") + F.col("earlier")).cast("long").alias("before"))
 
 
+def _documents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Documents of the shards that a task gets."""
+    for batch in batches:
+        for row in batch.to_pylist():
+            shard = WaveletFile(files.read(row["path"]))
+            tokens = shard.tokens()
+            bounds = np.concatenate([[0], np.cumsum(np.array(shard.lengths, np.int64))])
+            for at in range(0, len(shard.doc_ids), 1_000):
+                some = bounds[at : at + 1_001]
+                data = tokens[some[0] : some[-1]].astype("<u2").view(np.uint8)
+                yield pa.RecordBatch.from_arrays([
+                    pa.array(shard.doc_ids[at : at + 1_000], pa.int64()), pa.array(row["before"] + some[:-1], pa.int64()),
+                    binary_array(data, (some - some[0]) * 2).cast(pa.binary()),
+                ], ["doc_id", "start", "ids"])
+    give_back()
+
+
+def _dealt(shards: DataFrame) -> DataFrame:
+    return shards.repartition(int(shards.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+
+
 def read(shards: DataFrame) -> DataFrame:
     """(doc_id, start, ids) of every document of shards (path, before); ids are unsigned 16-bit integers in one binary."""
-
-    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for row in batch.to_pylist():
-                shard = WaveletFile(files.read(row["path"]))
-                tokens = shard.tokens()
-                bounds = np.concatenate([[0], np.cumsum(np.array(shard.lengths, np.int64))])
-                for at in range(0, len(shard.doc_ids), 1_000):
-                    some = bounds[at : at + 1_001]
-                    data = tokens[some[0] : some[-1]].astype("<u2").view(np.uint8)
-                    yield pa.RecordBatch.from_arrays([
-                        pa.array(shard.doc_ids[at : at + 1_000], pa.int64()), pa.array(row["before"] + some[:-1], pa.int64()),
-                        binary_array(data, (some - some[0]) * 2).cast(pa.binary()),
-                    ], ["doc_id", "start", "ids"])
-
-    parts = int(shards.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return shards.repartition(parts).mapInArrow(task, "doc_id long, start long, ids binary")
+    return _dealt(shards).mapInArrow(_documents, "doc_id long, start long, ids binary")
 
 
 def digests(spark: SparkSession, docs: DataFrame, definition: str) -> DataFrame:
     """Every document through a shard and back: start, n_tokens and crc32 of the ids as 32-bit integers."""
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows in slices(batches, "ids"):
+        # The ids of a document go from its shard to its digest in one worker.
+        for rows in slices(_documents(batches), "ids"):
             data, bounds = flat(rows.column("ids"))
             wide = data.view("<u2").astype("<u4").view(np.uint8)
             sums = [zlib.crc32(wide[a:b]) for a, b in zip((bounds[:-1] * 2).tolist(), (bounds[1:] * 2).tolist())]
@@ -315,4 +323,4 @@ def digests(spark: SparkSession, docs: DataFrame, definition: str) -> DataFrame:
             )
 
     shards = with_starts(write(docs, definition, staging_path(spark, "wavelet")))
-    return read(shards).mapInArrow(task, "doc_id long, start long, n_tokens long, ids_crc32 long")
+    return _dealt(shards).mapInArrow(task, "doc_id long, start long, n_tokens long, ids_crc32 long")
