@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import duration_minutes, outlier_multiplier, percent, unknown_is_false
-from ..session import stage
+from ..session import fits_broadcast, stage
 from ..sources import schemas as S
 from .percentiles import column_summaries
 from .rules import Rule
@@ -76,15 +76,16 @@ def keep_first(
     The survivor is the smallest in ``order_by``, then in the remaining columns, so reruns agree.
     Given ``repeated`` (distinct ``_h`` of :func:`repeated_hashes` over ``by`` and ``keys``, stored so
     that the planner knows its size), only rows with such a hash go through the wide grouping and all
-    others stay where they are. A hash collision merely sends a row through the exact grouping.
+    others stay where they are. A hash collision merely sends a row through the exact grouping. If more hashes repeat
+    than a broadcast holds, marking the rows would shuffle them whole as well, so all go through the grouping at once.
     """
     group = _group(keys, by)
     rest = [*(order_by or []), *[c for c in df.columns if c not in group and c not in (order_by or [])]]
     columns = [*df.columns, "_copies"]
-    if repeated is None:
+    if repeated is None or not fits_broadcast(repeated):
         return _keep_one(df, group, rest).select(*columns)
     marked = df.withColumn("_h", F.xxhash64(*group)).join(
-        repeated.withColumn("_twice", F.lit(True)), "_h", "left"
+        F.broadcast(repeated.withColumn("_twice", F.lit(True))), "_h", "left"
     )
     single = marked.where(F.col("_twice").isNull()).withColumn("_copies", F.lit(1).cast("long"))
     suspects = marked.where(F.col("_twice").isNotNull()).select(*df.columns)
@@ -108,11 +109,11 @@ def audit(
     Rules before deduplication get ordinals from 1, deduplication the next, later rules the rest.
     ``_removed_by`` is NULL for clean rows. Rows folded per rule have NULL business columns.
 
-    The plain form is one scan and one shuffle of whole records. With ``prefilter`` a first scan
-    counts broken records and key hashes, and only records whose hash repeats are shuffled whole. Rows
-    that stay in place and rows that are shuffled are then two more scans: three scans and a shuffle of
-    8 bytes a record, the right trade once records outgrow the shuffle disks. Where only numbers are
-    wanted, :func:`audit_counts` moves no whole records.
+    The plain form is one scan and one shuffle of whole records. With ``prefilter`` the live records are
+    stored once, so ``df`` is worked out once; a scan of them counts broken records and key hashes in a shuffle of
+    8 bytes a record. While the repeated hashes fit a broadcast, only records with such a hash are shuffled whole;
+    beyond that all live records are, once, as in the plain form. Where only numbers are wanted,
+    :func:`audit_counts` moves no whole records.
     """
     by = by or []
     before = list(enumerate([r for r in rules if not r.after_dedup], 1))
@@ -121,14 +122,15 @@ def audit(
     keys = keys or list(df.columns)
     live = F.col("_rule").isNull()
     if prefilter:
+        records = stage(tagged.select("_rule", *[c if c in by else F.when(live, F.col(c)).alias(c) for c in df.columns]), "records")
         counted = stage(
-            tagged.groupBy("_rule", *by, F.when(live, F.xxhash64(*_group(keys, by))).alias("_h"))
+            records.groupBy("_rule", *by, F.when(live, F.xxhash64(*_group(keys, by))).alias("_h"))
             .agg(F.count(F.lit(1)).alias("_copies"))
             .where(~live | (F.col("_copies") > 1)),
             "broken-and-repeated",
         )
         kept = keep_first(
-            tagged.where(live).drop("_rule"), keys, order_by, by, counted.where(live).select("_h").distinct()
+            records.where(live).drop("_rule"), keys, order_by, by, counted.where(live).select("_h").distinct()
         )
         grouped = kept.withColumn("_rule", F.lit(None).cast("int")).unionByName(
             counted.where(~live).drop("_h"), allowMissingColumns=True
