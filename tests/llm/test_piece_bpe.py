@@ -56,6 +56,39 @@ def test_given_up_pieces_and_ties():
         assert pieces.encode(text) == want, text
 
 
+def test_words_together():
+    """Many words at once give what each gives alone: backtracking, signs that are no piece, the sign between words, long and empty ones."""
+    rng = random.Random(9)
+    texts = ["<unk>", *(f"<0x{b:02X}>" for b in range(256)), "a", "b", "c", "ab", "bc", "abc", "cc", "bcc", "xa", "acb"]
+    kinds = [piece_bpe.UNKNOWN, *[piece_bpe.BYTE] * 256, *[piece_bpe.NORMAL] * 10]
+    small = piece_bpe.Pieces(texts, [0.0] * 257 + [-9, -9, -9, -1, 0, -2, -1, -1, -3, 5], kinds)
+    large = piece_bpe._pieces(MODEL)
+    parts = [t for i in rng.sample(large.usable, 2000) if (t := large.texts[i])]
+    cut = ["".join(p[: rng.randint(1, len(p))] for p in rng.choices(parts, k=6)).replace(piece_bpe.BLANK, " ") for _ in range(3000)]
+    odd = ["", "a\x00b", "\x00", "中文", "a" * 3000, " " + "the" * 100, "é🙂", small.gap, large.gap + "a"]
+    for pieces, words in ((small, ["".join(rng.choice("abcx") for _ in range(rng.randint(0, 14))) for _ in range(3000)]), (large, cut)):
+        words = words + odd
+        rng.shuffle(words)
+        got = [list(memoryview(ids).cast("I")) for ids in pieces.words([w.encode() for w in words])]
+        assert got == [pieces.encode(w.replace(" ", piece_bpe.BLANK)) for w in words]
+        assert pieces.words([w.encode() for w in words[:7]]) == pieces.words([w.encode() for w in words])[:7]
+    left = large.together([w.replace(" ", piece_bpe.BLANK) for w in cut]).count(None)
+    assert left < piece_bpe.FEW
+    assert large.words([]) == []
+
+
+def test_one_worker_per_task(spark):
+    """Ids and texts do not go through a chain of Python workers, and the operators one by one give the same."""
+    docs = spark.createDataFrame(list(enumerate(TEXTS)), "doc_id long, text string")
+    got = piece_bpe.digests(docs, MODEL)
+    assert got._jdf.queryExecution().executedPlan().toString().count("MapInArrow") == 1
+    steps = {r.doc_id: r for r in piece_bpe.decode(piece_bpe.encode(docs, MODEL), MODEL).collect()}
+    for r in got.collect():
+        ids = memoryview(bytes(steps[r.doc_id].ids)).cast("I")
+        assert (r.n_tokens, r.ids_sha256) == (len(ids), hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest())
+        assert r.decoded_sha256 == hashlib.sha256(steps[r.doc_id].decoded.encode()).hexdigest()
+
+
 def test_decoding_ids_of_any_origin(spark):
     rng = random.Random(7)
     rows = [(i, [rng.choice([rng.randrange(32000), rng.randrange(0, 259), 29871]) for _ in range(rng.randint(0, 12))]) for i in range(600)]

@@ -12,10 +12,13 @@ The library merges the best pair of neighbours until none is left. Instead of th
 
 Answers on pairs are kept per worker. Pieces that merging never reaches are left out. A sign that is no piece is a token of
 its own while pieces are fitted (it may be a part of longer pieces) and becomes the pieces of its bytes at the end.
+Words take these steps together, each word one step per round; a word that has such a sign, is long, or is one of the last
+few is encoded alone.
 
 No piece of the vocabulary has a blank behind another sign, so texts are cut there and a worker encodes each distinct word
 once; with a vocabulary for which that does not hold whole texts are encoded. There is no shuffle: a task needs its own
-rows and the model, and starts anew anywhere if an executor is lost.
+rows and the model, and starts anew anywhere if an executor is lost. ``digests`` encodes, decodes and lists in one Python
+worker per task, slice by slice; ``encode`` and ``decode`` do the same steps one at a time.
 
 Defined cases: a null text is empty and has no ids; repeated rows and null ids are encoded row by row; an empty table
 gives an empty result; columns other than doc_id and text are not read. Texts of any length are encoded whole.
@@ -24,6 +27,7 @@ gives an empty result; columns other than doc_id and text are not read. Texts of
 from __future__ import annotations
 
 import functools
+import itertools
 from collections.abc import Iterator
 
 import ahocorasick
@@ -36,8 +40,11 @@ from .arrays import binary_array, flat, gathered, slices
 from .known import Known, cuts, with_space
 
 BLANK = "▁"
-# Pairs whose compatibility a worker remembers.
-PAIRS = 2_000_000
+# Places for pairs whose compatibility a worker remembers (a power of two), and pairs remembered for words encoded alone.
+PAIRS = 1 << 21
+PAIRS_ALONE = 200_000
+# Words that take their steps together, at most and at least; longer ones are encoded alone.
+TOGETHER, FEW, LONG = 20_000, 50, 200
 # Kinds of pieces in a model file: fixed values of the format.
 NORMAL, UNKNOWN, CONTROL, BYTE = 1, 2, 3, 6
 # What the library prints for an unknown piece and for a byte that belongs to no sign.
@@ -72,14 +79,20 @@ class Pieces:
         self.ids = {texts[i]: i for i in self.usable}
         self.automaton = ahocorasick.Automaton()
         for text, i in self.ids.items():
-            self.automaton.add_word(text, (i, len(text)))
+            self.automaton.add_word(text, i)
         self.automaton.make_automaton()
+        self.sizes = np.array([len(text) for text in texts])
         self.cut = not any(BLANK in text.lstrip(BLANK) for text in normal)
         used = set("".join(normal))
         self.alone = np.array([b < 128 and b != 32 and chr(b) not in used for b in range(256)])
         self.alone &= self.cut
+        # A sign that no piece has keeps words apart that the automaton reads in one go.
+        self.gap = next(c for c in map(chr, range(0xD800)) if c not in used)
         self.pairs: dict[tuple[int, int], bool] = {}
+        # Twice a pair's number and one if it is compatible; a pair takes the place of another one.
+        self.places = np.full(PAIRS, -1, np.int64)
         self.shorter = functools.lru_cache(200_000)(self._shorter)
+        self.next_shorter = np.full(self.first_sign, -2, np.int64)
 
     def merge(self, signs: list[str]) -> list[str]:
         """The library's rule on a few signs: the best pair first, of equal ones the leftmost."""
@@ -101,12 +114,27 @@ class Pieces:
         return self.ids.get(char, self.first_sign + ord(char))
 
     def compatible(self, left: int, right: int) -> bool:
-        """Whether merging both together gives both back; the answer is kept."""
-        if len(self.pairs) >= PAIRS:
-            self.pairs.clear()
+        """Whether merging both together gives both back."""
         a, b = self.text(left), self.text(right)
-        found = self.pairs[left, right] = self.merge([*a, *b]) == [a, b]
-        return found
+        return self.merge([*a, *b]) == [a, b]
+
+    def all_compatible(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """The same for many pairs of pieces; the answers are kept."""
+        pairs = left * self.first_sign + right
+        place = (pairs.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(32)).astype(np.int64) & (PAIRS - 1)
+        found = self.places[place]
+        new = np.flatnonzero(found >> 1 != pairs)
+        if len(new):
+            distinct, which = np.unique(pairs[new], return_inverse=True)
+            fits = [self.compatible(*divmod(pair, self.first_sign)) for pair in distinct.tolist()]
+            self.places[place[new]] = found[new] = (distinct * 2 + np.array(fits))[which]
+        return (found & 1).astype(bool)
+
+    def all_shorter(self, tokens: np.ndarray) -> np.ndarray:
+        """The next shorter piece of many."""
+        for token in np.unique(tokens[self.next_shorter[tokens] == -2]).tolist():
+            self.next_shorter[token] = self.shorter(token)
+        return self.next_shorter[tokens]
 
     def _shorter(self, token: int) -> int:
         """The next shorter piece at the start of this one, or -1."""
@@ -119,9 +147,10 @@ class Pieces:
     def longest(self, text: str) -> list[tuple[int, int]]:
         """The longest piece at each position and its length."""
         found: list = [None] * len(text)
-        for end, piece in self.automaton.iter(text):
+        for end, token in self.automaton.iter(text):
             # Ends only grow, so the last match of a start is its longest.
-            found[end + 1 - piece[1]] = piece
+            size = len(self.texts[token])
+            found[end + 1 - size] = token, size
         return [piece or (self.sign(char), 1) for piece, char in zip(found, text)]
 
     def encode(self, text: str) -> list[int]:
@@ -136,7 +165,9 @@ class Pieces:
             if not failed[to >> 3] >> (to & 7) & 1:
                 fits = last < 0 or known((last, token[0]))
                 if fits is None:
-                    fits = self.compatible(last, token[0])
+                    if len(self.pairs) >= PAIRS_ALONE:
+                        self.pairs.clear()
+                    fits = self.pairs[last, token[0]] = self.compatible(last, token[0])
                 if fits:
                     out.append(token)
                     at, last = to, token[0]
@@ -159,7 +190,59 @@ class Pieces:
         return ids
 
     def words(self, words: list[bytes]) -> list[bytes]:
-        return [np.array(self.encode(w.decode().replace(" ", BLANK)), "<u4").tobytes() for w in words]
+        """Ids of each word as little-endian unsigned 32-bit integers."""
+        out: list[bytes] = []
+        for k in range(0, len(words), TOGETHER):
+            texts = [w.decode().replace(" ", BLANK) for w in words[k : k + TOGETHER]]
+            out += [np.array(self.encode(text), "<u4").tobytes() if ids is None else ids for text, ids in zip(texts, self.together(texts))]
+        return out
+
+    def together(self, texts: list[str]) -> list[bytes | None]:
+        """Ids of the texts without a sign that is no piece, by the steps of ``encode``; None for the others, long ones and the last few."""
+        sizes = np.array([len(text) for text in texts], np.int64)
+        alone = sizes > LONG
+        sizes[alone] = 0
+        joined = self.gap.join("" if long else text for text, long in zip(texts, alone.tolist()))
+        ends = np.cumsum(sizes + 1) - 1
+        found = np.fromiter(itertools.chain.from_iterable(self.automaton.iter(joined)), np.int64).reshape(-1, 2)
+        longest = np.full(len(joined) + 1, self.first_sign)
+        # As in ``longest``: of the matches of a start the last one stays.
+        longest[found[:, 0] + 1 - self.sizes[found[:, 1]]] = found[:, 1]
+        failed = np.zeros(len(joined) + 1, bool)
+        # The piece before each place on the way of its word.
+        before = np.full(len(joined) + 1, -1, np.int64)
+        word = np.flatnonzero(sizes)
+        at = (ends - sizes)[word]
+        token = longest[at]
+        while len(word) >= FEW:
+            usual = (token >= 0) & (token < self.first_sign)
+            alone[word[~usual]] = True
+            word, at, token = word[usual], at[usual], token[usual]
+            to, last = at + self.sizes[token], before[at]
+            fits = ~failed[to]
+            asked = np.flatnonzero(fits & (last >= 0))
+            fits[asked] = self.all_compatible(last[asked], token[asked])
+            before[to[fits]] = token[fits]
+            at = np.where(fits, to, at)
+            token = np.where(fits, longest[at], self.all_shorter(token))
+            back = token < 0
+            failed[at[back]] = True
+            token[back] = last[back]
+            at[back] -= self.sizes[token[back]]
+            more = at < ends[word]
+            word, at, token = word[more], at[more], token[more]
+        alone[word] = True
+        way = np.full(len(joined) + 1, -1, np.int64)
+        word = np.flatnonzero(~alone & (sizes > 0))
+        at = ends[word]
+        while len(at):
+            token = before[at]
+            at = at - self.sizes[token]
+            way[at] = token
+            at = at[before[at] >= 0]
+        ids = way[way >= 0].astype("<u4").tobytes()
+        bounds = np.concatenate([[0], np.cumsum(way >= 0)[ends]]) * 4
+        return [None if one else ids[a:b] for one, a, b in zip(alone.tolist(), bounds.tolist(), bounds[1:].tolist())]
 
     def decode(self, ids: list[int]) -> str:
         """As the library does it: one blank at the front goes, bytes that are no sign become U+FFFD."""
@@ -213,70 +296,82 @@ def _token_bytes(content: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np
     return np.frombuffer(b"".join(plain), np.uint8), np.cumsum(lengths) - lengths, lengths, kind
 
 
+def _encoded(batches: Iterator[pa.RecordBatch], content: bytes, usable: tuple[int, ...]) -> Iterator[pa.RecordBatch]:
+    pieces, known = _pieces(content, usable), _known(content, usable)
+    for rows in slices(batches, "text"):
+        data, bounds = with_space(*flat(rows.column("text")))
+        starts = cuts(data, bounds, pieces.alone) if pieces.cut else np.unique(bounds[:-1][np.diff(bounds) > 0])
+        ids, counts = known.numbers(data, starts)
+        ends = np.concatenate([[0], np.cumsum(counts)])[np.searchsorted(starts, bounds)]
+        yield pa.RecordBatch.from_arrays([rows.column("doc_id"), binary_array(ids.view(np.uint8), ends * 4).cast(pa.binary())], ["doc_id", "ids"])
+
+
+def _decoded(batches: Iterator[pa.RecordBatch], content: bytes) -> Iterator[pa.RecordBatch]:
+    data, starts, lengths, kind = _token_bytes(content)
+    for rows in slices(batches, "ids"):
+        raw, bounds = flat(rows.column("ids"))
+        ids, bounds = raw.view("<u4").astype(np.int64), bounds // 4
+        sizes = lengths[ids]
+        filled = bounds[:-1][np.diff(bounds) > 0]
+        blank = filled[kind[ids[filled]] == 2]
+        begin = starts[ids]
+        begin[blank] += 1
+        sizes[blank] -= 1
+        ends = np.concatenate([[0], np.cumsum(sizes)])[bounds]
+        joined = binary_array(gathered(data, begin, sizes), ends)
+        try:
+            if not kind[ids].all():
+                raise ValueError("ids that are no text")
+            text = joined.cast(pa.large_string()).cast(pa.string())
+        except ValueError:
+            whole = _pieces(content)
+            text = pa.array([whole.decode(ids[a:b].tolist()) for a, b in zip(bounds, bounds[1:])], pa.string())
+        yield pa.RecordBatch.from_arrays([*rows.columns, text], [*rows.schema.names, "decoded"])
+
+
+def _listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Ids as decimal numbers joined by commas."""
+    data, starts, lengths = _decimals()
+    for rows in slices(batches, "ids"):
+        raw, bounds = flat(rows.column("ids"))
+        ids = raw.view("<u4").astype(np.int64)
+        sizes = lengths[ids]
+        last = bounds[1:][np.diff(bounds) > 0] // 4 - 1
+        sizes[last] -= 1
+        ends = np.concatenate([[0], np.cumsum(sizes)])[bounds // 4]
+        listed = binary_array(gathered(data, starts[ids], sizes), ends).cast(pa.binary())
+        yield pa.RecordBatch.from_arrays([rows.column("doc_id"), pa.array(np.diff(bounds) // 4), listed, rows.column("decoded")], ["doc_id", "n_tokens", "listed", "decoded"])
+
+
+def _texts(docs: DataFrame) -> DataFrame:
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+
+
 def encode(docs: DataFrame, model: bytes) -> DataFrame:
     """One row (doc_id, ids) per row of ``docs``; ids are little-endian unsigned 32-bit integers in one binary."""
     shared = docs.sparkSession.sparkContext.broadcast((model, tuple(_pieces(model).usable)))
-
-    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pieces, known = _pieces(*shared.value), _known(*shared.value)
-        for rows in slices(batches, "text"):
-            data, bounds = with_space(*flat(rows.column("text")))
-            starts = cuts(data, bounds, pieces.alone) if pieces.cut else np.unique(bounds[:-1][np.diff(bounds) > 0])
-            ids, counts = known.numbers(data, starts)
-            ends = np.concatenate([[0], np.cumsum(counts)])[np.searchsorted(starts, bounds)]
-            yield pa.RecordBatch.from_arrays([rows.column("doc_id"), binary_array(ids.view(np.uint8), ends * 4).cast(pa.binary())], ["doc_id", "ids"])
-
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(task, "doc_id long, ids binary")
+    return _texts(docs).mapInArrow(lambda batches: _encoded(batches, *shared.value), "doc_id long, ids binary")
 
 
 def decode(encoded: DataFrame, model: bytes) -> DataFrame:
     """Adds ``decoded``, the text of each row's ``ids``; ids of any origin."""
     shared = encoded.sparkSession.sparkContext.broadcast(model)
-
-    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        data, starts, lengths, kind = _token_bytes(shared.value)
-        for rows in slices(batches, "ids"):
-            raw, bounds = flat(rows.column("ids"))
-            ids, bounds = raw.view("<u4").astype(np.int64), bounds // 4
-            sizes = lengths[ids]
-            filled = bounds[:-1][np.diff(bounds) > 0]
-            blank = filled[kind[ids[filled]] == 2]
-            begin = starts[ids]
-            begin[blank] += 1
-            sizes[blank] -= 1
-            ends = np.concatenate([[0], np.cumsum(sizes)])[bounds]
-            joined = binary_array(gathered(data, begin, sizes), ends)
-            try:
-                if not kind[ids].all():
-                    raise ValueError("ids that are no text")
-                text = joined.cast(pa.large_string()).cast(pa.string())
-            except ValueError:
-                whole = _pieces(shared.value)
-                text = pa.array([whole.decode(ids[a:b].tolist()) for a, b in zip(bounds, bounds[1:])], pa.string())
-            yield pa.RecordBatch.from_arrays([*rows.columns, text], [*rows.schema.names, "decoded"])
-
     schema = ", ".join(f"`{name}` {kind}" for name, kind in encoded.dtypes)
-    return encoded.mapInArrow(task, f"{schema}, decoded string")
+    return encoded.mapInArrow(lambda batches: _decoded(batches, shared.value), f"{schema}, decoded string")
 
 
 def digests(docs: DataFrame, model: bytes) -> DataFrame:
-    """Encode, decode, and describe both results per row."""
+    """Encode, decode, and describe both results per row.
+
+    The steps of ``encode`` and ``decode`` follow each other in one worker: as three Python workers in a chain, a task
+    sent ids and texts through the JVM in between and its executor held three times the processes.
+    """
+    shared = docs.sparkSession.sparkContext.broadcast((model, tuple(_pieces(model).usable)))
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Ids as decimal numbers joined by commas."""
-        for rows in slices(batches, "ids"):
-            raw, bounds = flat(rows.column("ids"))
-            ids = raw.view("<u4").astype(np.int64)
-            data, starts, lengths = _decimals()
-            sizes = lengths[ids]
-            last = bounds[1:][np.diff(bounds) > 0] // 4 - 1
-            sizes[last] -= 1
-            ends = np.concatenate([[0], np.cumsum(sizes)])[bounds // 4]
-            listed = binary_array(gathered(data, starts[ids], sizes), ends).cast(pa.binary())
-            yield pa.RecordBatch.from_arrays([rows.column("doc_id"), pa.array(np.diff(bounds) // 4), listed, rows.column("decoded")], ["doc_id", "n_tokens", "listed", "decoded"])
-
-    both = decode(encode(docs, model), model)
-    return both.mapInArrow(task, "doc_id long, n_tokens long, listed binary, decoded string").select(
+        return _listed(_decoded(_encoded(batches, *shared.value), shared.value[0]))
+
+    return _texts(docs).mapInArrow(task, "doc_id long, n_tokens long, listed binary, decoded string").select(
         "doc_id", "n_tokens", F.sha2("listed", 256).alias("ids_sha256"), F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256")
     )
 
