@@ -4,7 +4,11 @@
    ones by falling count, and sends them out by a hash of the word, packed: one row per block and word bucket.
 2. ``_encode_rows``: a bucket sees every block's words of its own hash range and encodes each distinct word once.
 3. ``_position_rows`` has, per block, the word number at every position. It meets the block's encoded words by
-   the block's key, and ``_reassemble`` puts the ids in text order. ``decode`` joins ids with the token bytes.
+   the block's key, and ``_reassemble`` puts the ids in text order. ``decode`` joins ids with the token bytes;
+   ``digests`` does that in the worker that put the ids in order.
+
+A worker holds a block's texts and a few bytes per word of it. What needs many bytes per sign or id (cutting, gathering,
+decoding) goes through a block in windows of ``WINDOW_BYTES`` and parts of ``PART_WORDS`` words, the same for every input.
 
 Hot words cost one entry per block, so no task grows with a word's count. Blocks are cut from the scan, so both
 passes over the documents must read the same splits: they read the same frame, and each block carries its number
@@ -32,6 +36,9 @@ from pyspark.sql import functions as F
 from .arrays import binary_array, blocks, flat, gathered, give_back, slices
 
 BLOCK_BYTES = 8 << 20
+# Texts are cut into words in windows of about so many bytes, and ids gathered for about so many words at a time.
+WINDOW_BYTES = 1 << 20
+PART_WORDS = 1 << 17
 # A bucket forgets its words beyond so many; a word met again is then encoded again.
 BUCKET_WORDS = 2_000_000
 _LETTER, _DIGIT, _OTHER, _SPACE = range(4)
@@ -77,31 +84,29 @@ def _kinds() -> np.ndarray:
     return kinds
 
 
-def _char_starts(data: np.ndarray) -> np.ndarray:
-    """Byte offset of each sign, found a megabyte at a time: for a whole block eight-byte places would weigh most of all arrays."""
-    at, used = np.empty(np.count_nonzero((data & 0xC0) != 0x80), np.int32), 0
-    for low in range(0, len(data), 1 << 20):
-        found = np.flatnonzero((data[low : low + (1 << 20)] & 0xC0) != 0x80)
-        at[used : used + len(found)] = found + low
-        used += len(found)
-    return at
-
-
-def pretokens(data: np.ndarray, doc_offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Byte offset of each pre-token (one more at the end), and number of the first pre-token of each text.
+def _window_end(data: np.ndarray, doc_offsets: np.ndarray, at: int) -> int:
+    """The first place from ``at`` on where no word goes on: the end of a text, or a space or line feed after an ASCII sign.
 
-    The boundaries are those of the published pattern: English contractions, letters, digits or other
-    signs with one space before them, and white space, whose last sign before a word stands apart.
+    White space after another sign always starts a word, whatever stands before or after; behind other white space it may not.
     """
-    at = _char_starts(data)
+    stop = int(doc_offsets[np.searchsorted(doc_offsets, at)]) if at < len(data) else len(data)
+    for low in range(at, stop, 1 << 16):
+        signs = data[low - 1 : min(low + (1 << 16), stop)]
+        found = np.flatnonzero(((signs[1:] == 32) | (signs[1:] == 10)) & (signs[:-1] > 32) & (signs[:-1] < 127))
+        if len(found):
+            return low + int(found[0])
+    return stop
+
+
+def _word_starts(data: np.ndarray, doc_offsets: np.ndarray) -> np.ndarray:
+    """Byte offset of each pre-token of one window; ``doc_offsets``: where texts start in it, beside its own start."""
+    at = np.flatnonzero((data & 0xC0) != 0x80).astype(np.int32)
     chars = np.frombuffer(data.tobytes().decode("utf-8").encode("utf-32-le"), np.uint32)
     n = len(chars)
-    doc_chars = np.searchsorted(at, doc_offsets)
-    if n == 0:
-        return np.zeros(1, np.int64), doc_chars
     kind = _kinds()[chars]
     first = np.zeros(n + 1, bool)
-    first[doc_chars] = True
+    first[np.searchsorted(at, doc_offsets)] = True
+    first[0] = True
     first[n] = True
     run = first.copy()
     run[1:n] |= kind[1:] != kind[:-1]
@@ -120,8 +125,23 @@ def pretokens(data: np.ndarray, doc_offsets: np.ndarray) -> tuple[np.ndarray, np
         start[where + 1] = False
         after = where + length
         start[after[after < n]] = True
-    starts = np.flatnonzero(start)
-    return np.append(at[starts], len(data)), np.searchsorted(starts, doc_chars)
+    return at[start]
+
+
+def pretokens(data: np.ndarray, doc_offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Byte offset of each pre-token (one more at the end), and number of the first pre-token of each text.
+
+    The boundaries are those of the published pattern: English contractions, letters, digits or other
+    signs with one space before them, and white space, whose last sign before a word stands apart.
+    """
+    found, low = [], 0
+    while low < len(data):
+        high = _window_end(data, doc_offsets, low + WINDOW_BYTES)
+        own = doc_offsets[np.searchsorted(doc_offsets, low) : np.searchsorted(doc_offsets, high)]
+        found.append(_word_starts(data[low:high], own - low) + np.int64(low))
+        low = high
+    offsets = np.concatenate([*found, np.array([len(data)], np.int64)])
+    return offsets, np.searchsorted(offsets[:-1], doc_offsets)
 
 
 def _packed(values: np.ndarray) -> bytes:
@@ -143,16 +163,23 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, pa.RecordB
         coded = binary_array(data, offsets).dictionary_encode()
         codes = coded.indices.to_numpy(zero_copy_only=False)
         order = np.argsort(-np.bincount(codes, minlength=len(coded.dictionary)), kind="stable")
-        rank = np.empty(len(order), np.int64)
+        rank = np.empty(len(order), np.int32)
         rank[order] = np.arange(len(order))
         words = coded.dictionary.take(pa.array(order))
         codes = rank[codes]
-        del data, coded
+        del data, offsets, coded
         yield rows.column("split")[0].as_py() << 32 | number, rows, codes, docs, words
     # The worker outlives the task and would keep what Arrow has set aside.
     give_back()
 
 
+def _each(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+    """The rows, one at a time: they are large."""
+    for batch in batches:
+        for number in range(len(batch)):
+            yield batch.slice(number, 1).to_pylist()[0]
+
+
 def _rows(rows: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), _SCHEMA)], schema=_SCHEMA)
 
@@ -183,24 +210,25 @@ def _encode_rows(ranks, pattern: str):
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = _encoding(ranks.value, pattern).encode_ordinary
         known: dict[bytes, list[int]] = {}
-        for batch in batches:
-            for row in batch.to_pylist():
-                numbers = _unpacked(row["a"]).reshape(2, -1).astype(np.int64)
-                ends = np.cumsum(numbers[1])
-                joined = zstandard.ZstdDecompressor().decompress(row["b"]) if ends[-1] else b""
-                ids, counts, start = [], [], 0
-                for end in ends.tolist():
-                    word = joined[start:end]
-                    start = end
-                    found = known.get(word)
-                    if found is None:
-                        if len(known) >= BUCKET_WORDS:
-                            known.clear()
-                        found = known[word] = encode(word.decode("utf-8"))
-                    ids += found
-                    counts.append(len(found))
-                a = _packed(np.concatenate([numbers[0], np.array(counts, np.int64)]))
-                yield _rows([(row["block"], 0, row["part"], row["size"], a, _packed(np.array(ids, np.int64)), None)])
+        for row in _each(batches):
+            numbers = _unpacked(row["a"]).reshape(2, -1).astype(np.int64)
+            ends = np.cumsum(numbers[1])
+            joined = zstandard.ZstdDecompressor().decompress(row["b"]) if ends[-1] else b""
+            ids, counts, start = [], [], 0
+            for end in ends.tolist():
+                word = joined[start:end]
+                start = end
+                found = known.get(word)
+                if found is None:
+                    if len(known) >= BUCKET_WORDS:
+                        known.clear()
+                    found = known[word] = encode(word.decode("utf-8"))
+                ids += found
+                counts.append(len(found))
+            a = _packed(np.concatenate([numbers[0], np.array(counts, np.int64)]))
+            yield _rows([(row["block"], 0, row["part"], row["size"], a, _packed(np.array(ids, np.int64)), None)])
+        known.clear()
+        give_back()
 
     return task
 
@@ -211,73 +239,93 @@ def _position_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
 
 
 def _reassemble(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows come sorted: of each block its encoded words, then its positions."""
+    """Rows come sorted: of each block its encoded words, then its positions. A block goes out in parts of whole texts."""
     block, words = None, []
-    for batch in batches:
-        for row in batch.to_pylist():
-            if row["block"] != block:
-                block, words = row["block"], []
-            if row["kind"] == 0:
-                words.append((row["a"], row["b"]))
-                continue
-            counts = np.zeros(row["size"], np.int64)
-            starts = np.zeros(row["size"], np.int64)
-            parts, used, seen = [np.zeros(0, np.uint32)], 0, 0
-            for a, b in words:
-                steps, lengths = _unpacked(a).reshape(2, -1).astype(np.int64)
-                mine = np.cumsum(steps)
-                counts[mine] = lengths
-                starts[mine] = used + np.cumsum(lengths) - lengths
-                parts.append(_unpacked(b))
-                used += len(parts[-1])
-                seen += len(mine)
-            if seen != row["size"]:
-                raise RuntimeError(f"block {block} has {row['size']} words, {seen} were encoded")
-            codes = _unpacked(row["a"]).astype(np.int64) if row["size"] else np.zeros(0, np.int64)
-            ids = gathered(np.concatenate(parts), starts[codes], counts[codes])
-            per_doc = _unpacked(row["b"]).astype(np.int64)
-            ends = np.concatenate([[0], np.cumsum(counts[codes])])[np.concatenate([[0], np.cumsum(per_doc)])]
+    for row in _each(batches):
+        if row["block"] != block:
+            block, words = row["block"], []
+        if row["kind"] == 0:
+            words.append((row["a"], row["b"]))
+            continue
+        counts = np.zeros(row["size"], np.int64)
+        starts = np.zeros(row["size"], np.int64)
+        pool, used, seen = [np.zeros(0, np.uint32)], 0, 0
+        for a, b in words:
+            steps, lengths = _unpacked(a).reshape(2, -1).astype(np.int64)
+            mine = np.cumsum(steps)
+            counts[mine] = lengths
+            starts[mine] = used + np.cumsum(lengths) - lengths
+            pool.append(_unpacked(b))
+            used += len(pool[-1])
+            seen += len(mine)
+        if seen != row["size"]:
+            raise RuntimeError(f"block {block} has {row['size']} words, {seen} were encoded")
+        words, pool = [], np.concatenate(pool)
+        codes = _unpacked(row["a"]) if row["size"] else np.zeros(0, np.uint32)
+        bounds = np.concatenate([[0], np.cumsum(_unpacked(row["b"]), dtype=np.int64)])
+        doc_ids, low = row["doc_ids"], 0
+        while low < len(doc_ids):
+            high = max(low + 1, int(np.searchsorted(bounds, bounds[low] + PART_WORDS, side="right")) - 1)
+            part = codes[bounds[low] : bounds[high]]
+            lengths = counts[part]
+            ids = gathered(pool, starts[part], lengths)
+            ends = np.concatenate([[0], np.cumsum(lengths)])[bounds[low : high + 1] - bounds[low]]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(row["doc_ids"], pa.int64()), binary_array(ids.astype("<u4").view(np.uint8), ends * 4).cast(pa.binary())],
+                [pa.array(doc_ids[low:high], pa.int64()), binary_array(ids.astype("<u4").view(np.uint8), ends * 4).cast(pa.binary())],
                 ["doc_id", "ids"],
             )
+            low = high
+    give_back()
 
 
-def encode(docs: DataFrame, ranks: bytes, pattern: str, buckets: int | None = None) -> DataFrame:
-    """One row (doc_id, ids) per row of ``docs``; ids are little-endian unsigned 32-bit integers in one binary."""
-    spark = docs.sparkSession
-    buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+def _decoded(batches: Iterator[pa.RecordBatch], ranks: bytes) -> Iterator[pa.RecordBatch]:
+    data, starts, lengths = _token_bytes(ranks)
+    for rows in slices(batches, "ids"):
+        raw, bounds = flat(rows.column("ids"))
+        ids = raw.view("<u4").astype(np.int64)
+        ends = np.concatenate([[0], np.cumsum(lengths[ids])])[bounds // 4]
+        decoded = binary_array(gathered(data, starts[ids], lengths[ids]), ends).cast(pa.binary())
+        yield pa.RecordBatch.from_arrays([*rows.columns, decoded], [*rows.schema.names, "decoded"])
+    give_back()
+
+
+def _blocks_together(docs: DataFrame, table, pattern: str, buckets: int | None = None) -> DataFrame:
+    """Encoded words and positions of each block, in the order that ``_reassemble`` needs."""
+    buckets = buckets or int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.spark_partition_id().alias("split"))
-    table = spark.sparkContext.broadcast(ranks)
     words = (
         texts.mapInArrow(_word_rows(buckets), _ROWS).repartition(buckets, "part")
         .mapInArrow(_encode_rows(table, pattern), _ROWS)
     )
     positions = texts.mapInArrow(_position_rows, _ROWS)
-    together = words.unionByName(positions).repartition("block").sortWithinPartitions("block", "kind", "part")
-    return together.mapInArrow(_reassemble, "doc_id long, ids binary")
+    return words.unionByName(positions).repartition("block").sortWithinPartitions("block", "kind", "part")
+
+
+def encode(docs: DataFrame, ranks: bytes, pattern: str, buckets: int | None = None) -> DataFrame:
+    """One row (doc_id, ids) per row of ``docs``; ids are little-endian unsigned 32-bit integers in one binary."""
+    table = docs.sparkSession.sparkContext.broadcast(ranks)
+    return _blocks_together(docs, table, pattern, buckets).mapInArrow(_reassemble, "doc_id long, ids binary")
 
 
 def decode(encoded: DataFrame, ranks: bytes) -> DataFrame:
     """Adds ``decoded``, the bytes of the tokens of each row's ``ids``."""
     table = encoded.sparkSession.sparkContext.broadcast(ranks)
-
-    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        data, starts, lengths = _token_bytes(table.value)
-        for rows in slices(batches, "ids"):
-            raw, bounds = flat(rows.column("ids"))
-            ids = raw.view("<u4").astype(np.int64)
-            ends = np.concatenate([[0], np.cumsum(lengths[ids])])[bounds // 4]
-            decoded = binary_array(gathered(data, starts[ids], lengths[ids]), ends).cast(pa.binary())
-            yield pa.RecordBatch.from_arrays([*rows.columns, decoded], [*rows.schema.names, "decoded"])
-
     schema = ", ".join(f"`{name}` {kind}" for name, kind in encoded.dtypes)
-    return encoded.mapInArrow(task, f"{schema}, decoded binary")
+    return encoded.mapInArrow(lambda batches: _decoded(batches, table.value), f"{schema}, decoded binary")
 
 
 def digests(docs: DataFrame, ranks: bytes, pattern: str) -> DataFrame:
-    """Encode, decode, and describe both results per row."""
-    both = decode(encode(docs, ranks, pattern), ranks)
+    """Encode, decode, and describe both results per row.
+
+    The last step of ``encode`` and that of ``decode`` follow each other in one worker: as two Python workers in a chain,
+    ids went through the JVM in between and an executor held twice the processes.
+    """
+    table = docs.sparkSession.sparkContext.broadcast(ranks)
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return _decoded(_reassemble(batches), table.value)
+
+    both = _blocks_together(docs, table, pattern).mapInArrow(task, "doc_id long, ids binary, decoded binary")
     return both.select(
         "doc_id",
         F.floor(F.length("ids") / 4).cast("long").alias("n_tokens"),
