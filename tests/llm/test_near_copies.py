@@ -142,3 +142,21 @@ def test_stage_goes_by_fingerprints_first(spark, monkeypatch):
     assert within and reached(got) == reached(within)
     # Prefixes are left with what the fingerprints did not link.
     assert apart[0][0] < apart[0][1]
+
+
+def test_a_task_hands_on_each_node_once():
+    rng = random.Random(8)
+    pairs = [[(rng.randrange(300), rng.randrange(300)) for _ in range(40)] for _ in range(30)]
+    for limit in (10**6, 50):
+        out = [edge for batch in near_copies.forests(iter(pairs), limit) for edge in zip(*(c.to_pylist() for c in batch.columns))]
+        ends = set().union(*(set(p) for part in pairs for p in part))
+        for edges in (out, [p for part in pairs for p in part]):
+            label = {x: x for x in ends}
+            while any(label[x] != label[y] for x, y in edges):
+                for x, y in edges:
+                    label[x] = label[y] = min(label[x], label[y])
+            want = label if edges is out else want
+        assert label == want
+        assert all(x > y for x, y in out)
+        assert limit == 50 or len({x for x, _ in out}) == len(out) < len(ends)
+    assert list(near_copies.forests(iter([[], []]))) == []

@@ -89,3 +89,18 @@ def test_components_of_paths_and_stars(spark):
     edges = [(i, i + 1) for i in range(100, 160)] + [(7, i) for i in range(20, 60)] + [(1, 2), (3, 2), (3, 9)]
     got = dict(map(tuple, simhash.components(spark.createDataFrame(edges, "a long, b long")).collect()))
     assert got == {**{i: 100 for i in range(101, 161)}, **{i: 7 for i in range(20, 60)}, 2: 1, 3: 1, 9: 1}
+
+
+def test_first_step_of_components_drops_no_repeats(spark, monkeypatch):
+    # Dropping them shuffles all edges once more in every round, and there is one row per edge at most.
+    seen, stage = [], simhash.stage
+
+    def counted(df, name):
+        seen.append(df._jdf.queryExecution().optimizedPlan().toString().lstrip().split("\n")[0])
+        return stage(df, name)
+
+    monkeypatch.setattr(simhash, "stage", counted)
+    edges = spark.createDataFrame([(x, x + 1) for x in range(1, 40)] + [(5, 5), (50, 60), (60, 50)], "a long, b long")
+    got = {r.node: r.component for r in simhash.components(edges).collect()}
+    assert got == {**{x: 1 for x in range(2, 41)}, 60: 50}
+    assert [plan.startswith("Aggregate") for plan in seen] == [True] + [False, True] * (len(seen) // 2)

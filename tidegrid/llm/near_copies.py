@@ -58,6 +58,8 @@ BATCH_BYTES = "8m"
 # Bytes of sets up to which a tile travels in its row; pairs of tiles that a task gets where they are paths.
 INLINE_BYTES = 512 << 10
 TASK_PAIRS = 16
+# Nodes whose links a task joins before it hands them on.
+FOREST_NODES = 1 << 18
 TILE_COLUMNS = {"nodes": "node", "components": "component", "sizes": "size", "contents": "content"}
 
 
@@ -316,6 +318,34 @@ def _each_pair(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, list, l
             yield batch.column("hash")[k].as_py(), listed(batch.column("a")[k]), None if same else listed(batch.column("b")[k])
 
 
+def forests(found: Iterator[list[tuple[int, int]]], limit: int = FOREST_NODES) -> Iterator[pa.RecordBatch]:
+    """Pairs of a task as stars around the smallest node: a node goes out once, however many pairs of tiles it was found in."""
+    parent: dict[int, int] = {}
+
+    def root(x: int) -> int:
+        while parent[x] != x:
+            parent[x] = parent[parent[x]]
+            x = parent[x]
+        return x
+
+    def joined() -> pa.RecordBatch:
+        ends = [(x, root(x)) for x in parent]
+        ends = [(x, y) for x, y in ends if x != y]
+        parent.clear()
+        return pa.RecordBatch.from_arrays([pa.array([x for x, _ in ends], pa.int64()), pa.array([y for _, y in ends], pa.int64())], ["a", "b"])
+
+    for pairs in found:
+        for pair in pairs:
+            for end in pair:
+                parent.setdefault(end, end)
+            x, y = map(root, pair)
+            parent[max(x, y)] = min(x, y)
+        if len(parent) >= limit:
+            yield joined()
+    if parent:
+        yield joined()
+
+
 def candidates(members: DataFrame, sketches: DataFrame, groups: DataFrame, tile: int) -> DataFrame:
     """(hash, node, component, size) of members that may be linked with one that ``groups`` (node, component) has apart.
 
@@ -328,9 +358,7 @@ def candidates(members: DataFrame, sketches: DataFrame, groups: DataFrame, tile:
     left = stage(left, "apart")
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, *tiles in _each_pair(batches):
-            found = tile_candidates(*tiles)
-            yield pa.RecordBatch.from_arrays([pa.array([x for x, _ in found], pa.int64()), pa.array([y for _, y in found], pa.int64())], ["a", "b"])
+        return forests(tile_candidates(*tiles) for _, *tiles in _each_pair(batches))
 
     reached = components(_tile_pairs(left, "sketch_tiles", tile).mapInArrow(task, "a long, b long")).toDF("node", "hash")
     blocks = reached.unionByName(reached.select(F.col("hash").alias("node"), "hash").distinct())

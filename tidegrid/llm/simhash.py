@@ -222,7 +222,8 @@ def components(edges: DataFrame) -> DataFrame:
         both = current.unionByName(current.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("n"), F.least("a", "m").alias("m"))
         large = both.join(least, both.a == least.n).where(F.col("b") > F.col("a")).select(F.col("b").alias("a"), F.col("m").alias("b"))
-        large = stage(_larger_first(large), "edges")
+        # One row per edge at most, so repeats wait for the second step to be dropped.
+        large = stage(_directed(large), "edges")
         least = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(least.withColumnRenamed("a", "n"), F.col("a") == F.col("n")).select(F.col("b").alias("a"), F.col("m").alias("b"))
         small = small.unionByName(least.select("a", F.col("m").alias("b")))
@@ -230,8 +231,12 @@ def components(edges: DataFrame) -> DataFrame:
     return current.select(F.col("a").alias("node"), F.col("b").alias("component"))
 
 
+def _directed(edges: DataFrame) -> DataFrame:
+    return edges.where("a != b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
+
+
 def _larger_first(edges: DataFrame) -> DataFrame:
-    return edges.where("a != b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
+    return _directed(edges).distinct()
 
 
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS, tile: int = TILE) -> DataFrame:
